@@ -55,7 +55,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.in_training_order(mixing.curriculum_plan(_table(spark, sf_dir, "documents")))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 12).alias("position"))
 
 
 def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,40 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_license_scan, op4_exact_topk, op5_sharding, op6_mixing, op7_ogg_media, op8_training_order, op9_simhash, op10_toxicity)}
 
-ORACLE_SQL = {}
+_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+
+ORACLE_SQL = {
+    "op2_url_filter": f"""WITH rules(rule_host, rule_path, action) AS (VALUES {_RULE_ROWS}),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT row_number() OVER () AS k, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(action, 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY k ORDER BY length(rule_host || rule_path) DESC NULLS LAST, length(rule_host) DESC) = 1""",
+    "op4_exact_topk": """WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 10""",
+    "op6_mixing": r"""WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+placed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM totals),
+weighed AS (SELECT *, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 3 AS capacity FROM placed),
+ratios AS (SELECT *, CAST(capacity AS DOUBLE) / weight AS ratio FROM weighed),
+levels AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(capacity) OVER before, 0) AS DOUBLE) / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM ratios WINDOW before AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (SELECT coalesce((SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, place LIMIT 1), 0) AS level),
+targets AS (SELECT source, place, source_size, least(CAST(capacity AS DOUBLE), w.level * weight) AS target FROM levels, water w),
+asked AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS asked FROM targets),
+epochs AS (SELECT *, CASE WHEN source_size > 0 THEN asked // source_size ELSE 0 END AS epochs FROM asked),
+laid AS (SELECT s.doc_id, s.size, e.*, CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.digest, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM sized s JOIN epochs e ON s.source IS NOT DISTINCT FROM e.source),
+parts AS (SELECT *, greatest(0, least(size, asked - epochs * source_size - start)) AS part, least(CAST(1 AS DOUBLE), (start + CAST(size AS DOUBLE) / 2) / target) AS share,
+  CASE place % 3 WHEN 0 THEN CAST(1.5 AS DOUBLE) WHEN 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS a, CASE place % 3 WHEN 0 THEN CAST(0.5 AS DOUBLE) WHEN 1 THEN CAST(1 AS DOUBLE) ELSE CAST(1.5 AS DOUBLE) END AS b FROM laid)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) AS taken,
+  CASE WHEN size > 0 AND (epochs > 0 OR part > 0) THEN round(CASE WHEN a = b THEN share ELSE (sqrt(greatest(0, a * a + 2 * (b - a) * (share * (a + b) / 2))) - a) / (b - a) END, 12) END AS position
+FROM parts""",
+}
