@@ -37,6 +37,8 @@ PADDING_ID = 0
 #: A byte between the records of a written shard: Spark's text sink needs a line end.
 SYNC = b"\n"
 MAX_VOCABULARY_BYTES = 64 << 20
+#: Offsets of up to so many files are broadcast; those of more are joined by a shuffle.
+MAX_BROADCAST_FILES = 500_000
 
 
 def feistel(index: np.ndarray, n: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -119,8 +121,10 @@ def training_order(records: DataFrame, seed: int = 7, shard_records: int = SHARD
     # a row a file, that is a row a task of the first step
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    n = table.count()
-    numbered = placed.join(offsets, "file").withColumn("slot", slot_of(F.col("offset") + F.col("row"), n, seed))
+    size = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    if size.files <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    numbered = placed.join(offsets, "file").withColumn("slot", slot_of(F.col("offset") + F.col("row"), size.n, seed))
     width = F.octet_length("record") + len(SYNC)
     slotted = numbered.withColumn("shard", F.floor(F.col("slot") / shard_records).cast("int")).withColumn("byte_offset", (F.col("slot") % shard_records) * width)
     return slotted.repartitionByRange("shard").sortWithinPartitions("shard", "slot").select("slot", "shard", "byte_offset", F.col("id").alias("doc_id"), "part", "n_tokens", "record")
