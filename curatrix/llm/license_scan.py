@@ -38,6 +38,9 @@ MORE_PHRASES = {
     "redistribution and use in source and binary forms": "bsd",
     "permission is hereby granted free of charge": "mit",
     "creative commons attribution": "cc-by",
+    "cc by nc": "cc-by-nc",
+    "cc by nd": "cc-by-nd",
+    "cc by sa": "cc-by-sa",
     "all rights reserved": "proprietary",
     "public domain": "public-domain",
 }
@@ -50,6 +53,9 @@ FAMILIES = {
     "bsd": "bsd",
     "bsl": "bsl",
     "cc-by": "cc-by",
+    "cc-by-nc": "cc-by-nc",
+    "cc-by-nd": "cc-by-nd",
+    "cc-by-sa": "cc-by-sa",
     "cc0": "public-domain",
     "epl": "epl",
     "gpl": "gpl",
@@ -60,7 +66,7 @@ FAMILIES = {
     "unlicense": "public-domain",
 }
 #: Families that bind derived works; what may be used under one of them alone is restricted.
-RESTRICTED = frozenset({"agpl", "gpl", "lgpl", "mpl", "epl", "proprietary"})
+RESTRICTED = frozenset({"agpl", "gpl", "lgpl", "mpl", "epl", "cc-by-nc", "cc-by-nd", "cc-by-sa", "proprietary"})
 #: An operator binds tighter the higher it stands; ``with`` joins an exception to its licence.
 BINDS = {"or": 1, "and": 2, "with": 3}
 #: How much one place, one labelled phrase and one parsed expression show that a licence is stated.
