@@ -73,15 +73,17 @@ def curriculum_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     extra = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])]
     rows = checkpointed(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), digest.alias("digest"), *extra))
-    rows = rows.withColumn("chunk", F.substring("digest", 1, CHUNK_DIGITS))
-    chunks = rows.groupBy("source", "chunk").agg(F.sum("size").alias("size"))
+    # one key without nulls for window and join, so that the rows are shuffled by it once
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+    rows = rows.withColumn("chunk", F.substring("digest", 1, CHUNK_DIGITS)).withColumn("cell", F.concat("chunk", name))
+    chunks = rows.groupBy("source", "chunk", "cell").agg(F.sum("size").alias("size"))
     targets = source_targets(chunks.select("source", "size")).withColumnRenamed("source", "of")
     before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.select("source", "chunk", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    offsets = offsets.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of").select(F.col("source").alias("s"), F.col("chunk").alias("c"), "offset", "place", "source_size", "target")
-    inside = Window.partitionBy("source", "chunk").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select("source", "cell", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    offsets = offsets.join(targets, F.col("source").eqNullSafe(F.col("of"))).select("cell", "offset", "place", "source_size", "target")
+    inside = Window.partitionBy("cell").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    laid = summed.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c"))).withColumn("start", F.col("offset") + F.col("inside"))
+    laid = summed.join(offsets, "cell").withColumn("start", F.col("offset") + F.col("inside"))
     asked = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(asked / F.col("source_size"))).otherwise(0).cast("long")
     laid = laid.withColumn("asked", asked).withColumn("epochs", epochs)
