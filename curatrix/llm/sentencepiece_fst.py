@@ -34,6 +34,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Fixed value of the library: an unknown character scores this much under the worst piece.
 UNKNOWN_PENALTY = 10.0
+#: The score of a merge that is not possible.
+NEVER = float("-inf")
 #: What a worker keeps at most: encoded words and decided pairs. Full tables start afresh.
 MAX_WORDS, MAX_PAIRS, MAX_WORD = 400_000, 600_000, 40
 #: Model files over this size are refused rather than sent to every executor.
@@ -131,8 +133,10 @@ class PieceTransducer:
         self.bytes = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.byte_ids = frozenset(self.bytes.values())
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
-        #: The trie as a table: a piece's id, or -1 for what only begins pieces.
-        self.trie: dict[str, int] = {p[:k]: -1 for p in self.normal for k in range(1, len(p))} | self.normal
+        #: The trie: by character the id of the piece that ends there, or -1, and what follows.
+        self.trie: dict[str, tuple] = self._trie(self.normal)
+        #: Characters of a piece; the last but one stands for the fallback of one character.
+        self.lengths = [len(p) for p in self.pieces] + [1, 0]
         #: No piece has a space mark after another character: words are encoded each for itself.
         cut = not any(SPACE in p.lstrip(SPACE) for p in self.normal)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if cut else "(?s).+")
@@ -140,6 +144,19 @@ class PieceTransducer:
         self.outputs = [bytes([int(p[3:5], 16)]) if k == BYTE else kept.get(k, p.replace(SPACE, " ").encode()) for p, _, k in pieces]
         self.known: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
+        self.made: dict[int, tuple | None] = {}
+
+    @staticmethod
+    def _trie(pieces: dict[str, int]) -> dict[str, tuple]:
+        below: dict[str, dict] = {"": {}}
+        for piece in sorted(pieces, key=len, reverse=True):
+            for k in range(len(piece), 0, -1):
+                inner = below.setdefault(piece[:k], {})
+                known = piece[k - 1] in below.setdefault(piece[: k - 1], {})
+                below[piece[: k - 1]][piece[k - 1]] = (pieces.get(piece[:k], -1), inner)
+                if known:
+                    break
+        return below[""]
 
     def normalise(self, text: str) -> str:
         if self.chars_map:
@@ -150,31 +167,61 @@ class PieceTransducer:
             text = " " + text
         return text.replace(" ", SPACE) if self.escape else text
 
-    def merged(self, text: str) -> list[str]:
-        """BPE of a string of two pieces at most, merge by merge: the best score first, then the leftmost."""
-        parts, score, low = list(text), self.scores.get, float("-inf")
-        gains = [score(a + b, low) for a, b in zip(parts, parts[1:], strict=False)]
-        while gains and (best := max(gains)) > low:
-            at = gains.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del gains[at]
-            if at:
-                gains[at - 1] = score(parts[at - 1] + parts[at], low)
-            if at < len(gains):
-                gains[at] = score(parts[at] + parts[at + 1], low)
-        return parts
+    def merges(self, piece: int) -> tuple[list[float], list[str], list[str]] | None:
+        """How BPE makes a piece of its characters, the best score first, then the leftmost: each merge's score,
+        and the first and last part before each and at the end. None if it does not make the piece."""
+        if piece not in self.made:
+            parts, score = list(self.pieces[piece]), self.scores.get
+            scores, firsts, lasts = [], [parts[0]], [parts[-1]]
+            gains = [score(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+            while gains and (best := max(gains)) > NEVER:
+                at = gains.index(best)
+                merged = parts[at] = parts[at] + parts.pop(at + 1)
+                del gains[at]
+                if at:
+                    gains[at - 1] = score(parts[at - 1] + merged, NEVER)
+                if at < len(gains):
+                    gains[at] = score(merged + parts[at + 1], NEVER)
+                scores.append(best)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            self.made[piece] = ([*scores, NEVER], firsts, lasts) if len(parts) == 1 else None
+        return self.made[piece]
 
     def follows(self, left: int, right: int) -> bool:
         """Whether the bigram acceptor lets ``right`` follow ``left`` (-1: the start of a word)."""
-        key = left << 32 | right
+        key = (left + 1) * len(self.pieces) + right
         got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            parts = [self.pieces[i] for i in (left, right) if i >= 0]
-            got = self.pairs[key] = self.merged("".join(parts)) == parts
+            got = self.pairs[key] = self.merges(right) is not None if left < 0 else self.stay_apart(left, right)
         return got
 
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether BPE of both together makes just the two. Until a merge crosses their border, each is made as it is
+        alone, and the merges of both interleave by score; of equal ones the leftmost comes first."""
+        a, b = self.merges(left), self.merges(right)
+        if a is None or b is None:
+            return False
+        (scores_a, _, lasts), (scores_b, firsts, _) = a, b
+        i = j = 0
+        across = self.scores.get(lasts[0] + firsts[0], NEVER)
+        while True:
+            next_a, next_b = scores_a[i], scores_b[j]
+            if across > next_a and across >= next_b:
+                return False
+            if next_a == next_b == NEVER:
+                return True
+            if next_a >= next_b:
+                i += 1
+                changed = lasts[i] != lasts[i - 1]
+            else:
+                j += 1
+                changed = firsts[j] != firsts[j - 1]
+            if changed:
+                across = self.scores.get(lasts[i] + firsts[j], NEVER)
+
     def fallback(self, char: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in char.encode()) if len(self.bytes) == 256 else (self.unknown,)
 
@@ -184,52 +231,66 @@ class PieceTransducer:
         Any path of finite weight from the start encodes its prefix, so a position that was left in
         vain lies on no accepted path and is not entered again.
         """
-        n, trie, pairs, follows = len(word), self.trie, self.pairs, self.follows
+        n, root, lengths, pairs, follows, width = len(word), self.trie, self.lengths, self.pairs, self.follows, len(self.pieces)
         dead: set[int] = set()
-        path: list[tuple[int, int]] = []  # (where the arc ends, its piece or -2)
-        arcs: list[list[tuple[int, int]]] = []  # the arcs still to try, the longest last
+        path: list[int] = []  # pieces, or -2 for the fallback
+        arcs: list[list[int]] = []  # the pieces still to try at each position, the longest last
         i, left = 0, -1
         while i < n:
-            todo, j = [], i + 1
-            while j <= n and (piece := trie.get(word[i:j])) is not None:
+            todo: list[int] = []
+            below = root
+            for char in word[i:] if i else word:
+                hit = below.get(char)
+                if hit is None:
+                    break
+                piece, below = hit
                 if piece >= 0:
-                    todo.append((j, piece))
-                j += 1
-            if word[i] not in self.normal:
-                todo.insert(0, (i + 1, -2))
+                    todo.append(piece)
+            if not todo or lengths[todo[0]] > 1:
+                todo.insert(0, -2)
             arcs.append(todo)
             while True:
-                if not arcs[-1]:
+                if not todo:
                     arcs.pop()
-                    dead.add(path.pop()[0])
-                    left = path[-1][1] if path else -1
+                    dead.add(i)
+                    i -= lengths[path.pop()]
+                    todo, left = arcs[-1], path[-1] if path else -1
                     continue
-                j, piece = arcs[-1].pop()
-                if j in dead:
+                piece = todo.pop()
+                if dead and i + lengths[piece] in dead:
                     continue
-                if piece < 0 or left == -2:
-                    ok = piece < 0 or follows(-1, piece)
+                if piece < 0:
+                    ok = True
                 else:
-                    ok = pairs.get(left << 32 | piece)
+                    before = -1 if left < 0 else left
+                    ok = pairs.get((before + 1) * width + piece)
                     if ok is None:
-                        ok = follows(left, piece)
+                        ok = follows(before, piece)
                 if ok:
-                    path.append((j, piece))
-                    i, left = j, piece
+                    path.append(piece)
+                    i += lengths[piece]
+                    left = piece
                     break
-        if all(piece >= 0 for _, piece in path):
-            return tuple([piece for _, piece in path])
-        return tuple([i for at, piece in path for i in ((piece,) if piece >= 0 else self.fallback(word[at - 1]))])
+        if -2 not in path:
+            return tuple(path)
+        out: list[int] = []
+        at = 0
+        for piece in path:
+            out.extend((piece,) if piece >= 0 else self.fallback(word[at]))
+            at += lengths[piece]
+        return tuple(out)
 
     def unigram_path(self, word: str) -> tuple[int, ...]:
-        n, trie = len(word), self.trie
+        n = len(word)
         best: list[tuple[float, int, int]] = [(0.0, 0, -1)] + [(float("inf"), 0, -2)] * n
         for i in range(n):
-            weight = best[i][0]
-            for j in range(i + 1, n + 1):
-                piece = trie.get(word[i:j])
-                if piece is None:
+            weight, below, j = best[i][0], self.trie, i
+            for char in word[i:]:
+                hit = below.get(char)
+                if hit is None:
                     break
+                piece, below = hit
+                j += 1
                 if piece >= 0 and weight - self.scores[word[i:j]] < best[j][0]:
                     best[j] = weight - self.scores[word[i:j]], i, piece
             if word[i] not in self.normal and weight + self.unknown_weight < best[i + 1][0]:
