@@ -135,6 +135,8 @@ class PieceTransducer:
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
         #: The trie: by character the id of the piece that ends there, or -1, and what follows.
         self.trie: dict[str, tuple] = self._trie(self.normal)
+        #: No arc is longer, so that a position looks at so many characters and not at the whole rest of a long word.
+        self.reach = max(map(len, self.normal), default=1)
         #: Characters of a piece; the last but one stands for the fallback of one character.
         self.lengths = [len(p) for p in self.pieces] + [1, 0]
         #: No piece has a space mark after another character: words are encoded each for itself.
@@ -231,7 +233,7 @@ class PieceTransducer:
         Any path of finite weight from the start encodes its prefix, so a position that was left in
         vain lies on no accepted path and is not entered again.
         """
-        n, root, lengths, pairs, follows, width = len(word), self.trie, self.lengths, self.pairs, self.follows, len(self.pieces)
+        n, root, reach, lengths, pairs, follows, width = len(word), self.trie, self.reach, self.lengths, self.pairs, self.follows, len(self.pieces)
         dead: set[int] = set()
         path: list[int] = []  # pieces, or -2 for the fallback
         arcs: list[list[int]] = []  # the pieces still to try at each position, the longest last
@@ -239,7 +241,7 @@ class PieceTransducer:
         while i < n:
             todo: list[int] = []
             below = root
-            for char in word[i:] if i else word:
+            for char in word[i : i + reach]:
                 hit = below.get(char)
                 if hit is None:
                     break
@@ -285,7 +287,7 @@ class PieceTransducer:
         best: list[tuple[float, int, int]] = [(0.0, 0, -1)] + [(float("inf"), 0, -2)] * n
         for i in range(n):
             weight, below, j = best[i][0], self.trie, i
-            for char in word[i:]:
+            for char in word[i : i + self.reach]:
                 hit = below.get(char)
                 if hit is None:
                     break

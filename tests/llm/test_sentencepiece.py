@@ -1,3 +1,5 @@
+import time
+
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -38,6 +40,15 @@ def test_documents_match_the_library_and_come_back(spark, make_docs):
         assert r.n_byte_tokens == sum(THEIRS.is_byte(i) for i in r.token_ids)
 
 
+def test_words_without_spaces_take_linear_time():
+    for text in ("abcdefghij" * 40_000, "漢字🙂x" * 100_000):
+        began = time.process_time()
+        ids = OURS.encode(text)
+        # a copy of the rest at each position would take minutes
+        assert time.process_time() - began < 30
+        assert ids == THEIRS.encode(text)
+
+
 def test_empty_table(make_docs, spark):
     assert fst.encode_texts(make_docs(["x"]).limit(0), MODEL).count() == 0
 
