@@ -8,34 +8,43 @@ from pyspark.sql import functions as F
 from ..functions.strings import stable_order_key
 
 
+#: Hexadecimal digits of the order's hash that make a chunk; running counts go by chunk, 4096 of them at most.
+CHUNK_DIGITS = 3
+
+
 def assign_splits(groups: DataFrame, classes: DataFrame, scope: str, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
     """(group_id, split): ``groups`` has group_id, ``classes`` the pairs (group_id, class_id) of its objects.
 
     Groups stand in a hash order of scope and seed. The first group of each class trains. More
     groups train in order until their number is the rounded share (at least the covered ones, at
     most all but one); the rest validate. If none is left, the last training group whose classes all have
-    another one validates, else the last group. Fewer than two groups, or a share outside 0 to 1, raise.
-    The ranking is global, over groups, not items.
+    another one validates, else the last group. One group, or a share outside 0 to 1, raises; no groups
+    give no rows. Only sums of chunks of the order, not the groups, are put in order in one task.
     """
     if not 0.0 < train_fraction < 1.0:
         raise ValueError("train_fraction must be strictly between 0 and 1")
     names = groups.select("group_id").distinct().withColumn("key", stable_order_key(scope, seed, F.col("group_id")))
-    ranked = names.withColumn("ord", F.row_number().over(Window.orderBy("key", "group_id")))
-    pairs = classes.select("group_id", "class_id").distinct().join(ranked.select("group_id", "ord"), "group_id")
-    first = Window.partitionBy("class_id").orderBy("ord")
-    covering = pairs.withColumn("k", F.row_number().over(first)).where("k = 1").select("group_id").distinct().withColumn("covers", F.lit(True))
-    state = ranked.join(covering, "group_id", "left").withColumn("covers", F.coalesce("covers", F.lit(False)))
+    names = names.select("group_id", F.struct("key", "group_id").alias("place"), F.substring("key", 1, CHUNK_DIGITS).alias("chunk"))
+    pairs = classes.select("group_id", "class_id").distinct().join(names, "group_id")
+    covering = pairs.groupBy("class_id").agg(F.min("place").alias("first")).select("first.group_id").distinct().withColumn("covers", F.lit(True))
+    state = names.join(covering, "group_id", "left").withColumn("covers", F.coalesce("covers", F.lit(False)))
+    # groups of its classes that a group may leave, counted a class; asked only where every group covers one
+    counts = pairs.groupBy("class_id").agg(F.count("*").alias("n"))
+    spare = pairs.join(counts.withColumnRenamed("class_id", "other"), F.col("class_id").eqNullSafe(F.col("other")))
+    spare = spare.groupBy("group_id").agg(F.min(F.col("n") > 1).alias("spare"))
+    state = state.join(spare, "group_id", "left").withColumn("spare", F.coalesce("spare", F.lit(True)))
+    free = F.when(F.col("covers"), 0).otherwise(1)
+    chunks = state.groupBy("chunk").agg(F.count("*").alias("n"), F.sum(free).alias("free"), F.max("place").alias("last"), F.max(F.when(F.col("spare"), F.col("place"))).alias("last_spare"))
     everything = Window.partitionBy()
-    free_rank = F.sum(F.when(F.col("covers"), 0).otherwise(1)).over(Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
-    n, covered = F.count("*").over(everything), F.sum(F.col("covers").cast("int")).over(everything)
-    target = F.greatest(covered, F.least(n - 1, F.bround(n * F.lit(train_fraction)).cast("long")))
-    checked = F.when(n >= 2, F.lit(True)).otherwise(F.raise_error(F.lit("at least two groups are needed")).cast("boolean"))
-    state = state.select("group_id", "ord", (checked & (F.col("covers") | (free_rank <= target - covered))).alias("trains"))
-    # the fallback, only where nothing validates: a training group that each of its classes can spare
-    in_training = pairs.join(state.select("group_id", "trains"), "group_id").where("trains")
-    spare = in_training.withColumn("n", F.count("*").over(Window.partitionBy("class_id"))).groupBy("group_id").agg(F.min(F.col("n") > 1).alias("spare"))
-    judged = state.join(spare, "group_id", "left").withColumn("spare", F.coalesce("spare", F.lit(True)))
-    last_spare = F.max(F.when(F.col("spare") & F.col("trains"), F.col("ord"))).over(everything)
-    moved = F.coalesce(last_spare, F.max("ord").over(everything))
-    validates = ~F.col("trains") | (F.min(F.col("trains")).over(everything) & (F.col("ord") == moved))
-    return judged.select("group_id", F.when(validates, "validation").otherwise("train").alias("split"))
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    n, all_free = F.sum("n").over(everything), F.sum("free").over(everything)
+    moved = F.coalesce(F.max("last_spare").over(everything), F.max("last").over(everything))
+    chunks = chunks.select("chunk", n.alias("n"), (n - all_free).alias("covered"), F.coalesce(F.sum("free").over(before), F.lit(0)).alias("offset"), moved.alias("moved"))
+    inside = Window.partitionBy("chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = state.withColumn("free_rank", F.sum(free).over(inside)).join(chunks, "chunk")
+    target = F.greatest("covered", F.least(F.col("n") - 1, F.bround(F.col("n") * F.lit(train_fraction)).cast("long")))
+    checked = F.when(F.col("n") >= 2, F.lit(True)).otherwise(F.raise_error(F.lit("at least two groups are needed")).cast("boolean"))
+    trains = F.col("covers") | (F.col("offset") + F.col("free_rank") <= target - F.col("covered"))
+    # nothing is left to validate just if every group covers a class
+    last_resort = (F.col("covered") == F.col("n")) & (F.col("place") == F.col("moved"))
+    return ranked.select("group_id", F.when(checked & trains & ~last_resort, "train").otherwise("validation").alias("split"))
