@@ -28,8 +28,9 @@ from .shared import checkpointed
 
 #: Rows of a bucket and of a query block: the unit of work and of memory.
 BUCKET_ROWS, BLOCK_ROWS = 2048, 256
-#: Lanes that buckets are dealt over.
-LANES = 64
+#: Lanes that buckets are dealt over: at least so many, and so many buckets a lane up to the greatest number. A lane
+#: is what one task answers, so that the tasks grow with the buckets; each block of queries is sent to all lanes.
+LANES, LANE_BUCKETS, MOST_LANES = 64, 64, 4096
 #: From this local cosine threshold on, coordinate pruning pays.
 COORDINATE_FROM = 0.6
 #: Integers below this size are exact in a double.
@@ -181,8 +182,9 @@ def top_k(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: s
                 yield pa.record_batch([[row["pack"]], [q_ids.tolist()], [row["q_n"]], [row["q_dim"]], [row["q_data"]], [bounds.tolist()], [float(reach.min(initial=np.inf))]], schema=pa.schema([("pack", pa.int64()), ("q_ids", pa.list_(pa.int64())), ("q_n", pa.int32()), ("q_dim", pa.int32()), ("q_data", pa.binary()), ("bounds", pa.list_(pa.float64())), ("needs", pa.float64())]))
 
     bounded = q_side.withColumn("one", F.lit(1)).join(first, "one").drop("one").mapInArrow(bounds_of, "pack long, q_ids array<long>, q_n int, q_dim int, q_data binary, bounds array<double>, needs double")
-    lanes = bounded.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
-    dealt = buckets.select(F.pmod(F.hash("pack"), F.lit(LANES)).alias("lane"), F.col("top").alias("c_top"), *(F.col(c).alias(f"c_{c}") for c in ("ids", "n", "dim", "data")))
+    n_lanes = min(MOST_LANES, max(LANES, buckets.count() // LANE_BUCKETS))
+    lanes = bounded.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(n_lanes - 1))))
+    dealt = buckets.select(F.pmod(F.hash("pack"), F.lit(n_lanes)).alias("lane"), F.col("top").alias("c_top"), *(F.col(c).alias(f"c_{c}") for c in ("ids", "n", "dim", "data")))
     pairs = dealt.join(lanes, "lane").where(F.col("c_top") >= F.col("needs") * (1 - 1e-9))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

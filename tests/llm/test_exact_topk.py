@@ -29,6 +29,15 @@ def test_unequal_lengths_of_vectors_prune_and_stay_exact(spark, monkeypatch):
     assert run(spark, rows) == brute(rows, 10, 10, 1024)
 
 
+@pytest.mark.parametrize("most", [3, 4096])
+def test_lanes_that_grow_with_the_buckets_lose_nothing(spark, monkeypatch, most):
+    rng = random.Random(2)
+    for name, value in (("BUCKET_ROWS", 16), ("LANES", 1), ("LANE_BUCKETS", 2), ("MOST_LANES", most)):
+        monkeypatch.setattr(exact_topk, name, value)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)]
+    assert run(spark, rows) == brute(rows, 10, 10, 1024)
+
+
 def test_ties_copies_and_odd_vectors(spark):
     rows = [(i, [1.0, 0.0]) for i in range(30)] + [(100, None), (101, [None, 1.0]), (102, [float("nan"), 1.0]), (110, [float("inf"), 0.0]), (None, [1.0, 1.0]), (40, [-0.5, 0.25]), (50, [0.0, 0.0])]
     assert run(spark, rows) == brute(rows, 10, 10, 1024)
