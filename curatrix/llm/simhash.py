@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .shared import checkpointed, slices
+from .shared import checkpointed, slices, stored
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 3, 2, 42
 #: Fingerprints of one key that a task compares in memory.
@@ -187,10 +187,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(named, "fp").select(F.col("id").alias(id_col), text.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """``docs`` with one document of each group: the one whose id names the group; a repeated id stays once."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("kept_id")).distinct()
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with the columns d0, d1, ... and row, a number of its own for each row."""
     names = [f"d{k}" for k in range(len(docs.columns))]
-    own = names[docs.columns.index(id_col)]
-    found = docs.toDF(*names).join(kept, F.col(own).eqNullSafe(F.col("kept_id")), "left_semi")
-    return found.dropDuplicates([own]).toDF(*docs.columns)
+    return stored(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def drop_linked(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with one row of each component: the one of the smallest id, null ids last, then of the smallest row.
+
+    ``nodes`` has (row, id, node) of each row, ``links`` (a, b) between nodes.
+    """
+    parts = connected_components(links).withColumnRenamed("component", "root")
+    rooted = nodes.join(parts, "node", "left").select("row", F.col("id").isNull().alias("unnamed"), "id", F.coalesce("root", "node").alias("root"))
+    firsts = rooted.groupBy("root").agg(F.min(F.struct("unnamed", "id", "row")).alias("first"))
+    dropped = rooted.join(firsts, "root").where("row <> first.row").select("row")
+    return rows.join(dropped, "row", "left_anti").drop("row")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE, run_rows: int = RUN_ROWS) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: the one of the smallest id, null ids last.
+
+    Rows are chosen, not ids: null and repeated ids neither join groups nor leave one without a row.
+    """
+    rows = numbered(docs)
+    own, text = (f"d{docs.columns.index(c)}" for c in (id_col, text_col))
+    named = rows.select(F.struct("row", F.col(own).alias("id")).alias("key"), F.col(text).alias("text"))
+    prints = checkpointed(fingerprints(named, "key", "text", shingle_words))
+    nodes = prints.select("id.row", "id.id", F.col("fp").alias("node"))
+    return drop_linked(rows, nodes, hamming_links(prints.select("fp").distinct(), distance, run_rows)).toDF(*docs.columns)

@@ -117,6 +117,14 @@ def test_one_of_each_group_stays(make_docs, words):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2, 3]
 
 
+def test_null_and_repeated_ids_over_different_texts(make_docs, words):
+    a, b, c, d = (words(50) for _ in range(4))
+    # a under an id and under null; b under null only; c and d under one id, d under another too
+    docs = make_docs([a, a, b, b, c, d, d], ids=[1, None, None, None, 7, 7, 9])
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.drop_near_duplicates(docs).collect())
+    assert kept == sorted([(1, a), (0, b), (7, c), (7, d)])
+
+
 def test_empty_table(make_docs):
     docs = make_docs(["x"]).limit(0)
     assert simhash.near_duplicates(docs).count() == 0 and simhash.drop_near_duplicates(docs).count() == 0
