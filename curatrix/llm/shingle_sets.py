@@ -1,0 +1,119 @@
+"""Near copies by the Jaccard similarity of their sets of five-word shingles.
+
+Links are verified on the sets themselves. Candidates come from minima: a set has BANDS keys, each of
+ROWS minima of the set under different orders. Two sets of similarity s agree in a key with probability s^ROWS and
+in none with (1 - s^ROWS)^BANDS: 1.2e-7 at 0.8, less above. Unrelated texts that share a common line
+hardly ever agree in all minima of a key, so such lines make no crowded keys.
+
+Each text of a key is first compared with the smallest of the key only. Pairs of a key that are not yet in
+one component are compared afterwards, all of them: the components are those of all pairs that share a key.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators.components import connected_components
+from .shared import checkpointed, slices
+from .simhash import LOWER_BYTES, SEED, drop_linked, numbered
+
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
+BANDS, ROWS = 40, 5
+#: Shingles whose orders are computed at once.
+BLOCK = 4096
+
+_DRAWN = np.random.default_rng(SEED)
+#: An odd factor gives each order, another each place of a key.
+ORDERS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = _DRAWN.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def words_of(text: str) -> list[bytes]:
+    """The words at ASCII white space, A-Z lower-cased."""
+    return text.encode().translate(LOWER_BYTES).split()
+
+
+def shingle_set(words: list[bytes], shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles; fewer words than a shingle are one."""
+    n = max(1, len(words) - shingle_words + 1)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle_words]), SEED) for k in range(n)), np.uint64, n))
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """The BANDS keys of a set."""
+    least = np.full(len(ORDERS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), BLOCK):
+        part = shingles[at : at + BLOCK]
+        np.minimum(least, np.multiply.outer(ORDERS, part).min(1), out=least)
+    mixed = least ^ (least >> np.uint64(29))
+    return (mixed.reshape(BANDS, ROWS) * PLACES).sum(1, dtype=np.uint64)
+
+
+def _keyed(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """(row, id, node, keys) from (row, id, text); the node is a hash of the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = [words_of(t or "") for t in batch.column("text").to_pylist()]
+            nodes = np.array([xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words], np.uint64)
+            keys = [band_keys(shingle_set(w, shingle_words)).view(np.int64) for w in words]
+            yield pa.record_batch([batch.column("row"), batch.column("id"), pa.array(nodes.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["row", "id", "node", "keys"])
+
+    return rows.mapInArrow(run, f"row long, id {rows.schema['id'].dataType.simpleString()}, node long, keys array<long>")
+
+
+def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """(node, shingles) from (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = [shingle_set(words_of(t or ""), shingle_words).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.mapInArrow(run, "node long, shingles array<long>")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets have the similarity or more."""
+    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+    return checkpointed(both.where(F.col("common") / (F.col("total") - F.col("common")) >= similarity).select("a", "b"))
+
+
+def similar_links(keyed: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) of nodes; ``keyed`` as from ``_keyed``, ``texts`` has (row, text)."""
+    once = keyed.groupBy("node").agg(F.min("row").alias("row"))
+    by_key = keyed.join(once, ["node", "row"]).select("node", F.explode("keys").alias("key"))
+    of_key = Window.partitionBy("key")
+    shared = by_key.select("node", "key", F.min("node").over(of_key).alias("hub"), F.max("node").over(of_key).alias("last"))
+    shared = checkpointed(shared.where("hub <> last").select("node", "key", "hub"))
+    wanted = once.join(shared.select("node").distinct(), "node", "left_semi")
+    sets = checkpointed(_sets(texts.join(wanted, "row").select("node", "text"), shingle_words))
+    first = checkpointed(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    links = _alike(first, sets, similarity)
+    parts = connected_components(links)
+    placed = shared.join(parts, "node", "left").select("node", "key", F.coalesce("component", "node").alias("part"))
+    placed = placed.select("node", "key", "part", F.min("part").over(of_key).alias("low"), F.max("part").over(of_key).alias("high")).where("low <> high")
+    placed = checkpointed(placed.select("node", "key", "part"))
+    other = placed.select(F.col("node").alias("b"), "key", F.col("part").alias("other"))
+    rest = placed.withColumnRenamed("node", "a").join(other, "key").where("a < b and part <> other").select("a", "b").distinct()
+    return links.unionByName(_alike(rest.join(first, ["a", "b"], "left_anti"), sets, similarity))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: the one of the smallest id, null ids last.
+
+    Words are cut at ASCII white space and A-Z lower-cased; equal words are one text, null texts have none.
+    Texts link from ``similarity`` on. All columns are kept unchanged.
+    """
+    rows = numbered(docs)
+    own, text = (F.col(f"d{docs.columns.index(c)}") for c in (id_col, text_col))
+    texts = rows.select("row", own.alias("id"), text.cast("string").alias("text"))
+    keyed = checkpointed(_keyed(texts, shingle_words))
+    return drop_linked(rows, keyed.select("row", "id", "node"), similar_links(keyed, texts.drop("id"), shingle_words, similarity)).toDF(*docs.columns)

@@ -1,0 +1,72 @@
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from curatrix.llm import shingle_sets as ss
+
+from .conftest import EDGE_TEXTS
+
+
+def brute_set(text, n=5):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\v\f\r " else c for c in words).split(" ") if w]
+    return frozenset(" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1)))
+
+
+def brute_kept(rows):
+    """Rows (id, text) that stay: the smallest id of each group of texts with a Jaccard similarity of 0.8 or more."""
+    sets = [brute_set(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 5 * common >= 4 * (len(sets[i]) + len(sets[j]) - common) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return sorted(min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in set(group))
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"edit{rng.random()}"
+    return " ".join(words)
+
+
+def test_the_stage_against_all_pairs(spark, make_docs, words):
+    rng = random.Random(3)
+    texts = list(EDGE_TEXTS)
+    for _ in range(12):
+        base = words(rng.randint(40, 400))
+        size = len(base.split())
+        # some edits stay above 0.8, some fall below; chains link through a middle
+        texts += [base, base.upper(), edited(rng, base, 1), edited(rng, base, size // 60), edited(rng, base, size // 30), edited(rng, edited(rng, base, size // 80), size // 80)]
+    docs = make_docs(texts)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept(list(enumerate(texts, 1)))
+
+
+def test_the_stage_on_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_null_and_repeated_ids(make_docs, words):
+    a, b, c, d = (words(50) for _ in range(4))
+    docs = make_docs([a, a, b, b, c, d, d], ids=[1, None, None, None, 7, 7, 9])
+    assert sorted((r.doc_id or 0, r.text) for r in ss.drop_near_copies(docs).collect()) == sorted([(1, a), (0, b), (7, c), (7, d)])
+
+
+def test_pairs_at_the_least_similarity_share_a_key():
+    rng = np.random.default_rng(1)
+    for n in (9, 90, 900):
+        for _ in range(300):
+            drawn = rng.integers(0, 1 << 63, n + n // 9, np.uint64)
+            assert (ss.band_keys(drawn[:n]) == ss.band_keys(drawn[n // 9 :])).any()
+
+
+def test_empty_table(make_docs):
+    assert ss.drop_near_copies(make_docs(["x"]).limit(0)).count() == 0
