@@ -3,7 +3,7 @@
 Learning: from labelled texts, the log-odds of a word, or of the first bytes of a longer word, between
 toxic and clean texts under a Dirichlet prior (an even part and one in proportion to the word's share of
 all labelled texts). Its score is the log-odds less a standard error; only clearly positive scores are
-kept, and count at the first place in a text. All other words cost a small constant, so that scores
+kept, and count at every place in a text. All other words cost a small constant, so that scores
 drift down in clean text.
 
 Scoring: a linear-time scan over a text finds all maximal scoring segments, the toxic passages.
@@ -113,20 +113,23 @@ class ToxicityModel:
         """How many segments of this score ``n_words`` of clean text are expected to hold."""
         return self.rate * max(1, n_words) * math.exp(-self.decay * score)
 
-    def passages(self, text: str) -> tuple[int, list[tuple[int, int, float, float]]]:
-        """(number of words, passages as (first word, last word, score, expected number in clean text))."""
-        words = words_of(text)
+    def hits(self, words: list[bytes]) -> tuple[list[int], list[float]]:
+        """The places of all scored words and their scores."""
         known = self.known
-        # traits were counted once a text, so the first place of one scores and its repeats do not
-        firsts: dict[bytes, tuple[int, float]] = {}
+        places, scores = [], []
         for k, w in enumerate(words):
             best = known.get(w, self)
             if best is self:
                 best = self.best_trait(w)
-            if best is not None and best[0] not in firsts:
-                firsts[best[0]] = k, best[1]
-        found = segments(*map(list, zip(*firsts.values(), strict=True)), self.drift) if firsts else []
-        return len(words), [(a, b, s, self.expected(s, len(words))) for a, b, s in found]
+            if best is not None:
+                places.append(k)
+                scores.append(best[1])
+        return places, scores
+
+    def passages(self, text: str) -> tuple[int, list[tuple[int, int, float, float]]]:
+        """(number of words, passages as (first word, last word, score, expected number in clean text))."""
+        words = words_of(text)
+        return len(words), [(a, b, s, self.expected(s, len(words))) for a, b, s in segments(*self.hits(words), self.drift)]
 
     def traits(self, n_words: int, passages: list[tuple[int, int, float, float]]) -> tuple[float, float]:
         """(strength, count): minus the logarithm of the least p-value, and log(1 + significant passages)."""
@@ -220,19 +223,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # words of a bounded sample of texts, and of these the few that speak clearly
     lexicon = counts.select("word", "c", score.alias("score")).where(F.col("score") >= LEAST_SCORE).collect()
     model = ToxicityModel({bytes(r.word): r.score for r in lexicon})
-    in_clean = sum(r.c for r in lexicon) / max(1.0, totals[1])
-    masses = [(r.score, max(r.c, 0.5) / max(1.0, totals[1])) for r in lexicon] + [(-model.drift, max(0.0, 1 - in_clean))]
-    model.decay = solve_decay(masses)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
         for batch in slices(batches, "text"):
-            rows = [sent.value.passages(t) for t in batch.column("text").to_pylist()]
-            found = [[s for _, _, s, _ in p] for _, p in rows]
-            yield pa.record_batch([batch.column("toxic"), pa.array([n for n, _ in rows], pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "n_words", "scores"])
+            rows = []
+            for text in batch.column("text").to_pylist():
+                words = words_of(text)
+                places, scores = own.hits(words)
+                times = Counter(scores)
+                rows.append((len(words), [s for _, _, s in segments(places, scores, own.drift)], list(times), list(times.values())))
+            lists = [pa.array([r[k] for r in rows], pa.list_(kind)) for k, kind in ((1, pa.float64()), (2, pa.float64()), (3, pa.int64()))]
+            yield pa.record_batch([batch.column("toxic"), pa.array([r[0] for r in rows], pa.int64()), *lists], ["toxic", "n_words", "scores", "marks", "times"])
 
     # a few numbers for each of at most ``bound`` texts
-    rows = texts.select("text", "toxic").mapInArrow(best, "toxic int, n_words long, scores array<double>").collect()
+    rows = texts.select("text", "toxic").mapInArrow(best, "toxic int, n_words long, scores array<double>, marks array<double>, times array<long>").collect()
+    clean_words = max(1, sum(r.n_words for r in rows if r.toxic != 1))
+    seen = Counter({r.score: 0.5 for r in lexicon})
+    for r in rows:
+        if r.toxic != 1:
+            seen.update(dict(zip(r.marks, r.times, strict=True)))
+    masses = [(s, n / clean_words) for s, n in seen.items()]
+    model.decay = solve_decay([*masses, (-model.drift, max(0.0, 1 - sum(p for _, p in masses)))])
     clean = [(max(1, r.n_words), max(r.scores, default=0.0)) for r in rows if r.toxic != 1]
     model.rate = len(clean) / sum(n * math.exp(-model.decay * s) for n, s in clean)
     traits = np.array([(1.0, *model.traits(r.n_words, [(0, 0, s, model.expected(s, r.n_words)) for s in r.scores])) for r in rows])

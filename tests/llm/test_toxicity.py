@@ -104,3 +104,19 @@ def test_rejecting_keeps_columns_and_clean_rows(corpus):
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     clean = {i for i, _, x in rows if not x}
     assert len(clean - ids) <= 2 and len(ids - clean) <= 3
+
+
+def test_every_place_of_a_word_scores(corpus):
+    docs, labels, _ = corpus
+    model = tox.fit(docs, labels)
+    gap = " ".join(["w1 w2 w3 w4 w5"] * 20)
+    passage = "vile nasty awful"
+    scattered = f"vile {gap} nasty {gap} awful {gap} {passage} {gap}"
+    n, found = model.passages(scattered)
+    strong = [p for p in found if p[3] <= tox.MAX_EXPECTED]
+    assert any((a, b) == (303, 305) for a, b, *_ in strong)
+    assert model.probability(*model.traits(n, found)) >= tox.REJECT_FROM
+    twice = [p[:2] for p in model.passages(f"{passage} {gap} {passage}")[1] if p[3] <= tox.MAX_EXPECTED]
+    assert twice == [(0, 2), (103, 105)]
+    once, many = (max(p[2] for p in model.passages(t)[1]) for t in ("vile", "vile " * 10))
+    assert many > once
