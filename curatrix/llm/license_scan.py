@@ -4,7 +4,8 @@ shunting-yard parser evaluates the and/or/with expressions that follow the tags.
 Phrases are matched on words: the text in UTF-8 with A-Z lower-cased, cut at all ASCII characters but
 letters and digits, joined by one space. A phrase between spaces is then one string to find, and the
 spaces before a hit number its first word. Tags are matched on the lower-cased text itself, as their
-expressions hold punctuation; one expression ends with its line.
+expressions hold punctuation; one expression ends with its line, or before it with the first token that
+cannot go on: a comment end or prose.
 """
 
 from __future__ import annotations
@@ -75,7 +76,9 @@ PLACE_WEIGHT, EXPRESSION_WEIGHT = 0.5, 0.9
 #: Bytes of words to themselves, A-Z to a-z, others to a space. Bytes from 0x80 belong to words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-TOKEN = re.compile(r"\(|\)|[a-z0-9.+\-]+")
+TOKEN = re.compile(r"\(|\)|[a-z0-9.+\-]+|[\r\n]")
+#: What a token must hold to be an identifier: dashes alone are the end of a comment.
+NAMED = re.compile(r"[a-z0-9]")
 
 
 def family(identifier: str) -> str | None:
@@ -83,39 +86,45 @@ def family(identifier: str) -> str | None:
     return max(((len(k), v) for k, v in FAMILIES.items() if identifier.startswith(k)), default=(0, None))[1]
 
 
-def parse_expression(text: str) -> list[str] | None:
-    """A licence expression in postfix order, by two stacks; None if it is not well formed."""
+def parse_expression(text: str, start: int = 0, whole: bool = True) -> list[str] | None:
+    """A licence expression in postfix order, by two stacks; None if it is not well formed.
+
+    The expression ends with its line. Unless it must be ``whole``, other text may follow: the longest well-formed
+    start counts, up to the first token that cannot go on. An expression whose line ends too early is ill formed.
+    """
     out: list[str] = []
     held: list[str] = []
-    operand = True
-    for token in TOKEN.findall(text):
+    operand, depth = True, 0
+    # the last place where all was well formed; outside brackets three operators at most are held
+    best: tuple[int, list[str]] | None = None
+    for match in TOKEN.finditer(text, start):
+        token = match.group()
+        if token in "\r\n":
+            break
+        named = token in "()" or NAMED.search(token)
+        if not named and operand and not whole:
+            continue
+        if not named or (operand and (token == ")" or token in BINDS)) or (not operand and token not in BINDS and token != ")") or (token == ")" and not depth):
+            return None if whole or best is None else out[: best[0]] + best[1]
         if token == "(":
-            if not operand:
-                return None
             held.append(token)
+            depth += 1
         elif token == ")":
-            if operand:
-                return None
-            while held and held[-1] != "(":
+            while held[-1] != "(":
                 out.append(held.pop())
-            if not held:
-                return None
             held.pop()
+            depth -= 1
         elif token in BINDS:
-            if operand:
-                return None
             while held and held[-1] != "(" and BINDS[held[-1]] >= BINDS[token]:
                 out.append(held.pop())
             held.append(token)
             operand = True
         else:
-            if not operand:
-                return None
             out.append(token)
             operand = False
-    if operand or "(" in held:
-        return None
-    return out + held[::-1]
+        if not operand and not depth:
+            best = len(out), held[::-1]
+    return None if operand or depth else out + held[::-1]
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
@@ -165,8 +174,7 @@ class Scanner:
         free, n_expressions = None, 0
         lower = raw.translate(LOWER_BYTES).decode("latin-1")
         for end, _ in self.tags.iter(lower):
-            stop = min((x for x in (lower.find("\n", end + 1), lower.find("\r", end + 1)) if x >= 0), default=len(lower))
-            if postfix := parse_expression(lower[end + 1 : stop]):
+            if postfix := parse_expression(lower, end + 1, whole=False):
                 labels, may = evaluate(postfix)
                 more |= labels
                 n_expressions += 1

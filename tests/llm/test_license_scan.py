@@ -48,5 +48,22 @@ def test_expressions():
     assert ls.evaluate(ls.parse_expression("mit and gpl-2.0")) == ({"mit", "gpl"}, False)
 
 
+def test_comment_ends_and_prose_after_a_tag():
+    scan = lambda text: ls.Scanner(ls.BASE_PHRASES, ls.MORE_PHRASES).scan(text)[5:]
+    for text, labels, n, free in (
+        ("<!-- SPDX-License-Identifier: MIT -->", "mit", 1, True),
+        ("/* SPDX-License-Identifier: GPL-2.0-only */ int x;", "gpl", 1, False),
+        ("SPDX-License-Identifier: MIT. This file is part of x", "mit", 1, True),
+        ("SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND ISC (see the file)", "gpl,isc,mit", 1, True),
+        ("(SPDX-License-Identifier: MIT) more", "mit", 1, True),
+        ("SPDX-License-Identifier: MIT AND (see the file", "mit", 1, True),
+        ("SPDX-License-Identifier: MIT more SPDX-License-Identifier: GPL-2.0-only -- x", "gpl,mit", 2, False),
+        ("SPDX-License-Identifier: MIT OR\nISC", "", 0, None),
+        ("SPDX-License-Identifier: -->", "", 0, None),
+    ):
+        found = scan(text)
+        assert (found[0], found[2], found[3]) == (labels, n, free), text
+
+
 def test_empty_table(make_docs):
     assert ls.scan_licenses(make_docs(["x"]).limit(0)).count() == 0
