@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, strings
+from .windows import chunked
 
 FINDING = "document string, field string, rule string, message string"
 COLUMNS = ["document", "field", "rule", "message"]
@@ -51,16 +52,18 @@ def unordered_times(rows: DataFrame) -> DataFrame:
 def repeats(rows: DataFrame, scope: list[str], value: str, pos: list[str]) -> DataFrame:
     """The second and later rows of each value in its scope, in order of ``pos``, with ``occurrence`` from 2.
 
-    A value may hold any share of the rows: only the first position of each is gathered, by a minimum,
-    when the order is all that is asked. ``occurrence`` needs the rank and is computed per value.
+    A value may hold any share of the rows: those of a frequent value are ranked chunk by chunk.
     """
-    rank = F.row_number().over(Window.partitionBy(*scope, value).orderBy(*pos))
-    return rows.withColumn("occurrence", rank).where("occurrence > 1")
+    return chunked(rows, [*scope, value], pos, occurrence=True).where("occurrence > 1")
 
 
 def duplicate_values(rows: DataFrame, what: str) -> DataFrame:
-    """From (document, field, value, pos): each repeat of a value in its document, at its own pointer."""
-    return finding(repeats(rows, ["document"], "value", ["pos"]), "duplicate_id", f"{what} is not unique")
+    """From (document, field, value, pos): each repeat of a value in its document, at its own pointer.
+
+    A repeat is what stands after the value's first place, so a minimum tells it and no value is ranked.
+    """
+    firsts = rows.groupBy("document", "value").agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return finding(rows.join(firsts, ["document", "value"]).where("pos > first"), "duplicate_id", f"a second {what} of this value")
 
 
 def broken_boxes(rows: DataFrame) -> DataFrame:
@@ -70,8 +73,8 @@ def broken_boxes(rows: DataFrame) -> DataFrame:
 
 
 def previous_of(rows: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
-    """``rows`` with ``previous``, the value of the row before in its group."""
-    return rows.withColumn("previous", F.lag(value).over(Window.partitionBy(*group).orderBy(*order)))
+    """``rows`` with ``previous``, the value of the row before in its group; a group may hold any share of the rows."""
+    return chunked(rows, group, order, previous=value)
 
 
 def split_leaks(items: DataFrame) -> DataFrame:
@@ -90,7 +93,7 @@ def unknown_values(rows: DataFrame, known: DataFrame, on: list[str], rule: str =
     return finding(rows.join(known.select(*on).distinct(), on, "left_anti"), rule, message)
 
 
-def differing_fields(rows: DataFrame, pairs: dict[str, tuple[str, str]], rule: str, message: str) -> DataFrame:
+def differing_fields(rows: DataFrame, pairs: dict[str, tuple[str, str]], rule: str, message: str | Column) -> DataFrame:
     """A finding for each (field: (column, expected column)) whose values differ; null counts as a value."""
     cases = [F.when(~F.col(a).eqNullSafe(F.col(b)), F.lit(field)) for field, (a, b) in pairs.items()]
     hits = rows.withColumn("field", F.explode(F.array_compact(F.array(*cases))))

@@ -58,8 +58,12 @@ def outcomes(images: DataFrame, decoded: DataFrame) -> DataFrame:
     rows = images.select("id", "file_name").join(decoded, "file_name", "left")
     early = F.when(F.col("ok").isNull(), "missing_source").when(~F.col("ok"), "decode_failed").when(F.col("oriented"), "exif_orientation")
     rows = rows.withColumn("early", early)
-    rank = F.row_number().over(Window.partitionBy("early", "sha256").orderBy("id"))
-    return rows.withColumn("reason", F.coalesce("early", F.when(rank > 1, "duplicate_image"))).drop("early", "ok", "oriented")
+    # only usable images compete; a row that is out already belongs to no group, so that none of these is large
+    usable = rows.where("early is null")
+    first = usable.groupBy("sha256").agg(F.min("id").alias("first"))
+    judged = usable.join(first.withColumnRenamed("sha256", "of"), F.col("sha256").eqNullSafe(F.col("of"))).drop("of")
+    judged = judged.withColumn("reason", F.when(F.col("id") != F.col("first"), "duplicate_image")).drop("first")
+    return judged.unionByName(rows.where("early is not null").withColumn("reason", F.col("early"))).drop("early", "ok", "oriented")
 
 
 def converted_objects(annotations: DataFrame, kept: DataFrame, categories: DataFrame, mapping: DataFrame, ignored: DataFrame) -> DataFrame:
@@ -123,7 +127,7 @@ def annotation_documents(ingested: Ingested, dataset_id: str, ontology_id: str,
     doc = F.struct(
         text("1.0.0", "schema_version"), numbered(f"{dataset_id}-approved-", 12, F.col("image_id")).alias("id"), F.col("item_id"), F.col("sha256").alias("image_sha256"), text(ontology_id, "ontology_id"), text(ontology_version, "ontology_version"), text(created_at, "created_at"), text("approved", "status"),
         F.struct(text("human", "kind"), text(actor, "actor_id"), text(run, "run_id"), text(tool, "tool_version")).alias("source"),
-        F.struct(text(actor, "reviewer_id"), text(created_at, "reviewed_at"), text("adopted published annotations", "reason")).alias("review"),
+        F.struct(text(actor, "reviewer_id"), text(created_at, "reviewed_at"), text("taken over as published", "reason")).alias("review"),
         F.coalesce("objects", none).alias("objects"),
     )
     return rows.select("image_id", doc.alias("doc"))

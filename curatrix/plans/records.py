@@ -58,9 +58,9 @@ def artifacts(*items: tuple[str, str, Column]) -> Column:
 def evaluation_input_findings(runs: DataFrame) -> DataFrame:
     """From (document, split, sample_count, metric_definitions, metrics, thresholds): what bars an evaluation record."""
     checks = [
-        (~F.coalesce(F.col("split").isin("validation", "test"), F.lit(False)), "/config/split", "split must be validation or test"),
-        (~F.coalesce(F.col("sample_count") >= 1, F.lit(False)), "/config/sample_count", "sample_count must be a positive integer"),
-        (~F.coalesce((F.size("metric_definitions") > 0) & same_keys(F.col("metrics"), F.col("metric_definitions")), F.lit(False)), "/metrics", "metrics and their definitions need equal keys"),
+        (~F.coalesce(F.col("split").isin("validation", "test"), F.lit(False)), "/config/split", "evaluations run on validation or test items"),
+        (~F.coalesce(F.col("sample_count") >= 1, F.lit(False)), "/config/sample_count", "at least one sample is needed"),
+        (~F.coalesce((F.size("metric_definitions") > 0) & same_keys(F.col("metrics"), F.col("metric_definitions")), F.lit(False)), "/metrics", "each metric needs a definition and each definition a metric"),
         (~F.coalesce((F.size("thresholds") > 0) & F.forall(F.map_values("thresholds"), lambda x: F.coalesce(is_finite(x), F.lit(False))), F.lit(False)), "/config/thresholds", "thresholds must be numbers"),
     ]
     cases = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(at).alias("field"), F.lit(m).alias("message"))) for c, at, m in checks)))

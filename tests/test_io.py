@@ -1,3 +1,4 @@
+import hashlib
 import json
 import time
 
@@ -18,15 +19,36 @@ def test_files_are_read_with_paths_and_hashes(spark, tmp_path):
     (tmp_path / "y.txt").write_bytes(b"y")
     rows = {r.path: r.sha256 for r in documents.read_files(spark, str(tmp_path)).collect()}
     assert set(rows) == {"a/x.json", "y.txt"} and all(len(h) == 64 for h in rows.values())
-    assert documents.escaping_paths(spark, str(tmp_path), ["a/x.json", "../z"]) == ["../z"]
+
+
+REF = "document string, field string, path string, sha256 string"
 
 
 def test_first_root_wins_and_bad_files_are_not_passed_over(spark):
-    refs = spark.createDataFrame([("d", "/1", "a", "h1"), ("d", "/2", "b", "h2"), ("d", "/3", "c", "h3"), ("d", "/4", "../e", "h")], "document string, field string, path string, sha256 string")
-    files = spark.createDataFrame([(0, "a", "h1"), (1, "a", "other"), (0, "b", "other"), (1, "b", "h2")], "root_rank int, path string, sha256 string")
-    good, found = documents.resolve(refs, files)
+    refs = spark.createDataFrame([("d", "/1", "a", "h1"), ("d", "/2", "b", "h2"), ("d", "/3", "c", "h3"), ("d", "/4", "../e", "h"), ("d", "/5", "x", "h5"), ("d", "/6", "y", "h6")], REF)
+    kind = "document string, root_rank int, path string, sha256 string, problem string"
+    files = spark.createDataFrame([("d", 0, "a", "h1", None), ("d", 1, "a", "other", None), ("d", 0, "b", "other", None), ("d", 1, "b", "h2", None), ("d", 0, "x", None, "path_escape"), ("d", 1, "x", "h5", None), ("d", 0, "y", None, None)], kind)
+    good, found = validation.resolve_each(refs, files)
     assert [r.field for r in good.collect()] == ["/1"]
-    assert {(r.field, r.rule) for r in found.collect()} == {("/2", "hash_mismatch"), ("/3", "artifact_missing"), ("/4/path", "invalid_path")}
+    assert {(r.field, r.rule) for r in found.collect()} == {("/2/sha256", "hash_mismatch"), ("/3/path", "artifact_missing"), ("/4/path", "invalid_path"), ("/5/path", "path_escape"), ("/6/sha256", "artifact_io")}
+
+
+def test_links_are_followed_inside_their_root_only(spark, tmp_path):
+    first, second = tmp_path / "first", tmp_path / "second"
+    first.mkdir()
+    second.mkdir()
+    (tmp_path / "outside.txt").write_bytes(b"o")
+    (second / "here.txt").write_bytes(b"h")
+    (second / "good.txt").symlink_to(second / "here.txt")
+    (first / "out.txt").symlink_to(tmp_path / "outside.txt")
+    (second / "out.txt").write_bytes(b"never reached")
+    (first / "ring").symlink_to(first / "ring")
+    names = ["here.txt", "good.txt", "out.txt", "ring", "none.txt", "../outside.txt"]
+    refs = spark.createDataFrame([("d", f"/{n}", n, hashlib.sha256(b"h").hexdigest()) for n in names], REF)
+    listing = documents.posix_listing(refs, [str(first), str(second)]).withColumn("document", F.lit("d"))
+    good, found = validation.resolve_each(refs, listing, "artifact_unresolved")
+    assert {r.path for r in good.collect()} == {"here.txt", "good.txt"}
+    assert {(r.field, r.rule) for r in found.collect()} == {("/out.txt/path", "path_escape"), ("/ring/path", "artifact_io"), ("/none.txt/path", "artifact_unresolved"), ("/../outside.txt/path", "invalid_path")}
 
 
 def test_image_listing(spark, tmp_path):
