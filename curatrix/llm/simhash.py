@@ -193,13 +193,12 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "numbered")
 
 
-def drop_linked(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+def drop_joined(rows: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
     """``rows`` with one row of each component: the one of the smallest id, null ids last, then of the smallest row.
 
-    ``nodes`` has (row, id, node) of each row, ``links`` (a, b) between nodes.
+    ``nodes`` has (row, id, node) of each row, ``parts`` the component of each node that has a link.
     """
-    parts = connected_components(links).withColumnRenamed("component", "root")
-    rooted = nodes.join(parts, "node", "left").select("row", F.col("id").isNull().alias("unnamed"), "id", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.join(parts.withColumnRenamed("component", "root"), "node", "left").select("row", F.col("id").isNull().alias("unnamed"), "id", F.coalesce("root", "node").alias("root"))
     firsts = rooted.groupBy("root").agg(F.min(F.struct("unnamed", "id", "row")).alias("first"))
     dropped = rooted.join(firsts, "root").where("row <> first.row").select("row")
     return rows.join(dropped, "row", "left_anti").drop("row")
@@ -215,4 +214,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     named = rows.select(F.struct("row", F.col(own).alias("id")).alias("key"), F.col(text).alias("text"))
     prints = checkpointed(fingerprints(named, "key", "text", shingle_words))
     nodes = prints.select("id.row", "id.id", F.col("fp").alias("node"))
-    return drop_linked(rows, nodes, hamming_links(prints.select("fp").distinct(), distance, run_rows)).toDF(*docs.columns)
+    parts = connected_components(hamming_links(prints.select("fp").distinct(), distance, run_rows))
+    return drop_joined(rows, nodes, parts).toDF(*docs.columns)

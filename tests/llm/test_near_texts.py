@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from curatrix.llm import near_texts as nt
+
+from .conftest import EDGE_TEXTS
+
+
+def brute_set(text, n=5):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\v\f\r " else c for c in words).split(" ") if w]
+    return frozenset(" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1)))
+
+
+def brute_kept(rows):
+    """Rows (id, text) that stay: the smallest id of each group of texts with a Jaccard similarity of 0.8 or more."""
+    sets = [brute_set(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 5 * common >= 4 * (len(sets[i]) + len(sets[j]) - common) and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return sorted(min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in set(group))
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"edit{rng.random()}"
+    return " ".join(words)
+
+
+def test_the_stage_against_all_pairs(spark, make_docs, words):
+    rng = random.Random(3)
+    texts = list(EDGE_TEXTS)
+    for _ in range(12):
+        base = words(rng.randint(40, 400))
+        size = len(base.split())
+        # some edits stay above 0.8, some fall below; chains link through a middle
+        texts += [base, base.upper(), edited(rng, base, 1), edited(rng, base, size // 60), edited(rng, base, size // 30), edited(rng, edited(rng, base, size // 80), size // 80)]
+    docs = make_docs(texts)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept(list(enumerate(texts, 1)))
+
+
+def test_the_stage_on_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_null_and_repeated_ids(make_docs, words):
+    a, b, c, d = (words(50) for _ in range(4))
+    docs = make_docs([a, a, b, b, c, d, d], ids=[1, None, None, None, 7, 7, 9])
+    assert sorted((r.doc_id or 0, r.text) for r in nt.drop_near_copies(docs).collect()) == sorted([(1, a), (0, b), (7, c), (7, d)])
+
+
+def test_pairs_at_the_least_similarity_share_a_variant():
+    rng = np.random.default_rng(1)
+    layout = nt.Layout(1 << 18)
+    missed = 0
+    for n, trials in ((90, 300), (900, 300)):
+        for _ in range(trials):
+            drawn = rng.integers(0, 1 << 63, n + n // 9, np.uint64)
+            prints = np.stack([nt.wide_print(drawn[:n], layout.width), nt.wide_print(drawn[n // 9 :], layout.width)])
+            a, b = layout.values(prints)
+            missed += not (np.bitwise_count(a ^ b) <= 1).any() or np.bitwise_count(prints[0, -2:] ^ prints[1, -2:]).sum() > nt.SKETCH_DISTANCE
+    assert missed <= 1
+
+
+def test_wide_print_against_a_loop():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 255, 256, 5000):
+        shingles = rng.integers(0, 1 << 63, n, np.uint64)
+        bits = [[int(nt.mixed_keys(np.array([s ^ nt.mixed_keys(np.array([w]))[0]], np.uint64))[0]) for s in shingles] for w in (1, 2)]
+        want = [sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > n) for own in bits]
+        assert nt.wide_print(shingles, 2).tolist() == want
+
+
+def test_near_pairs_against_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    centre = rng.integers(0, 1 << 12, 40, np.uint64)
+    values = np.concatenate([centre, centre[:20] ^ np.uint64(4), centre[:10] ^ np.uint64(65), np.full(30, centre[0])])
+    sketches = rng.integers(0, 1 << 3, (len(values), 2), np.uint64)
+    parts = rng.integers(0, 5, len(values))
+    masks = [(1 << 12) - 1 ^ (1 << k) for k in range(12)]
+    want = {(i, j) for i in range(len(values)) for j in range(i) if (int(values[i]) ^ int(values[j])).bit_count() <= 1 and parts[i] != parts[j]}
+    for most in (64, 4, 1):
+        monkeypatch.setattr(nt, "RUN_ROWS", most)
+        got = {(max(x, y), min(x, y)) for a, b in nt.near_pairs(values, sketches, parts, masks) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+        assert got == want
+    for a, b in nt.middle_pairs(values, sketches):
+        assert (values[a] == values[b]).all() and (a != b).all()
+
+
+def test_crowded_variants_lose_no_link(spark, make_docs, words, monkeypatch):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(3):
+        base = words(200)
+        texts += [edited(rng, base, rng.randint(1, 4)) for _ in range(25)] + [base]
+    docs = make_docs(texts)
+    want = brute_kept(list(enumerate(texts, 1)))
+    assert sorted(r.doc_id for r in nt.drop_near_copies(docs).collect()) == want
+
+
+def test_empty_table(make_docs):
+    assert nt.drop_near_copies(make_docs(["x"]).limit(0)).count() == 0
