@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import mixing, sentencepiece_fst, shingle_sets, toxicity
+from curatrix.llm import mixing, sentencepiece_fst, near_texts, toxicity
 from curatrix.llm.queries import _file
 from curatrix.llm.shared import shared_path
 
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of texts whose five-word shingles are alike to 0.8 or more."""
-    return shingle_sets.drop_near_copies(docs)
+    return near_texts.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
