@@ -120,3 +120,85 @@ def test_every_place_of_a_word_scores(corpus):
     assert twice == [(0, 2), (103, 105)]
     once, many = (max(p[2] for p in model.passages(t)[1]) for t in ("vile", "vile " * 10))
     assert many > once
+
+
+def test_the_scan_takes_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        found = tox.segments(list(range(0, 40 * n, 40)), [3.0] * n, 0.2)
+        assert len(found) == n
+        return time.perf_counter() - began
+
+    assert seconds(20_000) < 1
+    rising = [(10 * k, 1.0 + k % 3) for k in range(50_000)]
+    began = time.perf_counter()
+    tox.segments([p for p, _ in rising], [s for _, s in rising], 0.11)
+    assert time.perf_counter() - began < 2
+
+
+def brute_model(rows):
+    """Weights, decay, rate and traits of labelled training texts, (text, toxic) once each, in plain loops."""
+    import math
+
+    seen = {True: {}, False: {}}
+    for text, toxic in rows:
+        for trait in {t for w in tox.words_of(text) for t in tox.traits_of(w)}:
+            seen[toxic][trait] = seen[toxic].get(trait, 0) + 1
+    total = {k: sum(v.values()) for k, v in seen.items()}
+    weights = {}
+    for trait in set(seen[True]) | set(seen[False]):
+        t, c = seen[True].get(trait, 0), seen[False].get(trait, 0)
+        prior = tox.EVEN_PRIOR + tox.SHARED_PRIOR * (t + c) / (total[True] + total[False])
+        odds = math.log((t + prior) / (total[True] + tox.SHARED_PRIOR - t + 1)) - math.log((c + prior) / (total[False] + tox.SHARED_PRIOR - c + 1))
+        score = odds - tox.MARGIN * math.sqrt(1 / (t + prior) + 1 / (c + prior))
+        if score >= tox.LEAST_SCORE:
+            weights[trait] = score
+    scored = []
+    for text, toxic in rows:
+        words = [max((weights[t] for t in tox.traits_of(w) if t in weights), default=-tox.DRIFT) for w in tox.words_of(text)]
+        scored.append((toxic, words, [s for *_, s in brute_segments(words)]))
+    clean = [x for x in scored if not x[0]]
+    counts = {s: 0.5 for s in weights.values()}
+    for _, words, _ in clean:
+        for s in words:
+            if s > 0:
+                counts[s] += 1
+    n = sum(len(w) for _, w, _ in clean)
+    masses = [(s, k / n) for s, k in counts.items()]
+    masses.append((-tox.DRIFT, 1 - sum(p for _, p in masses)))
+    decay = tox.solve_decay(masses)
+    rate = len(clean) / sum(len(w) * math.exp(-decay * max(s, default=0)) for _, w, s in clean)
+    return weights, decay, rate, scored
+
+
+def test_model_and_scores_against_plain_loops(spark):
+    import math
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(240):
+        words = rng.choices([f"w{i}" for i in range(40)], k=rng.randint(4, 25))
+        if k % 6 == 0:
+            words[1:1] = rng.choices(["vile", "nasty", "awfully"], k=2)
+        rows.append((k, " ".join(words) + f" t{k}", k % 6 == 0))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(x)) for i, _, x in rows], "doc_id long, toxic int")
+    model = tox.fit(docs, labels)
+    training = [(t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    weights, decay, rate, scored = brute_model(training)
+    assert weights and model.weights == pytest.approx(weights)
+    assert (model.decay, model.rate) == (pytest.approx(decay), pytest.approx(rate))
+
+    def traits(words, segments):
+        expected = [rate * max(1, len(words)) * math.exp(-decay * s) for s in segments]
+        strength = min(40.0, max(0.0, -math.log(1 - math.exp(-min(expected))))) if expected else 0.0
+        return strength, math.log(1 + sum(e <= tox.MAX_EXPECTED for e in expected))
+
+    a, b, c = tox.fit_curve(tox.np.array([(1.0, *traits(w, s)) for _, w, s in scored]), tox.np.array([float(x) for x, _, _ in scored]))
+    found = {r.doc_id: r.score for r in tox.score_texts(docs, model).collect()}
+    for i, text, _ in rows:
+        words = [max((weights[t] for t in tox.traits_of(w) if t in weights), default=-tox.DRIFT) for w in tox.words_of(text)]
+        strength, count = traits(words, [s for *_, s in brute_segments(words)])
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-(a + b * strength + c * count))), abs=1e-4)
