@@ -187,9 +187,9 @@ def q20_nearest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q21_mapping_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part types that neither a mapping nor an ignore list classifies."""
+    """Part types that a mapping, of the smallest parts of one brand, does not classify."""
     kinds = table(spark, sf_dir, "part").select(F.col("p_type").alias("value")).distinct().withColumn("document", F.lit("part")).withColumn("field", F.col("value"))
-    brands = table(spark, sf_dir, "part").where("p_size <= 2").select(F.col("p_type").alias("value"))
+    brands = table(spark, sf_dir, "part").where("p_size = 1 and p_brand = 'Brand#1'").select(F.col("p_type").alias("value"))
     return findings.unknown_values(kinds, brands, ["value"], "unmapped_category").select("field", "rule")
 
 

@@ -57,6 +57,29 @@ moved AS (SELECT coalesce(max(CASE WHEN trains AND coalesce(ok, 1) = 1 THEN ord
 splits AS (SELECT group_id, CASE WHEN NOT trains OR (none = 1 AND ord = last_ord) THEN 'validation' ELSE 'train' END AS split FROM first_pass, moved)"""
 
 
+def preflight_sql(objects: str, items: str) -> str:
+    """All findings of a preflight over the CTEs ``objects`` and ``order_items``."""
+    return f"""WITH {objects}, {items}, {DISTRIBUTION},
+one AS (SELECT coalesce(max(images) FILTER (split = 'train'), 0) AS ti, coalesce(max(objects) FILTER (split = 'train'), 0) AS tob, coalesce(max(negative_images) FILTER (split = 'train'), 0) AS tn,
+               coalesce(max(images) FILTER (split = 'validation'), 0) AS vi, coalesce(sum(objects), 0) AS n FROM distribution WHERE class_id IS NULL),
+met AS (SELECT class_id, count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation FROM objects JOIN order_items USING (image_id) GROUP BY class_id),
+cls AS (SELECT coalesce(d.class_id, m.class_id) AS class_id, coalesce(total, 0) AS total, coalesce(train, 0) AS train, coalesce(validation, 0) AS validation FROM (VALUES ('A'), ('N'), ('R'), ('Z')) d(class_id) FULL JOIN met m ON d.class_id = m.class_id),
+top AS (SELECT max(total) AS top, count(*) AS k FROM cls),
+tiny AS (SELECT count(*) AS small FROM objects JOIN order_items USING (image_id) WHERE least(x2 - x1, y2 - y1) < 32),
+w AS (SELECT * FROM one, top, tiny)
+SELECT 'blocking' AS severity, 'missing_train_split' AS rule, '' AS class_id FROM w WHERE ti = 0
+UNION ALL SELECT 'blocking', 'missing_validation_split', '' FROM w WHERE vi = 0
+UNION ALL SELECT 'blocking', 'train_without_objects', '' FROM w WHERE ti > 0 AND tob = 0
+UNION ALL SELECT 'warning', 'small_train_split', '' FROM w WHERE ti > 0 AND ti < 100
+UNION ALL SELECT 'warning', 'no_negative_train_images', '' FROM w WHERE ti > 0 AND vi > 0 AND tn = 0
+UNION ALL SELECT 'warning', 'small_object_dominant', '' FROM w WHERE n > 0 AND small / n > 0.5
+UNION ALL SELECT 'warning', 'dominant_class', '' FROM w WHERE n > 0 AND top / n > 0.9 AND k > 1
+UNION ALL SELECT 'warning', 'unused_class', class_id FROM cls WHERE total = 0
+UNION ALL SELECT 'blocking', 'class_without_train_instances', class_id FROM cls WHERE total > 0 AND train = 0
+UNION ALL SELECT 'warning', 'class_below_min_train_instances', class_id FROM cls WHERE train > 0 AND train < 10
+UNION ALL SELECT 'warning', 'class_not_evaluated', class_id FROM cls WHERE train > 0 AND validation = 0"""
+
+
 ORACLE_SQL = {
     "q1_split_class_distribution": f"WITH {OBJECTS}, {ORDER_ITEMS}, {DISTRIBUTION} SELECT split, coalesce(class_id, '*') AS class_id, images, objects, negative_images FROM distribution",
     "q2_duplicate_content": f"WITH {ITEMS} SELECT item_id, image_sha256, CAST(k AS INTEGER) AS occurrence FROM (SELECT *, row_number() OVER (PARTITION BY image_sha256 ORDER BY item_id) AS k FROM items) WHERE k > 1",
@@ -92,25 +115,7 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 grouped AS (SELECT a AS id, 'group-' || min(b) AS group_id FROM reach GROUP BY a),
 {_split_sql("SELECT group_id FROM grouped", "SELECT group_id, label AS class_id FROM grouped JOIN named USING (id)", "thumbnails", 42, 0.8)}
 SELECT id, group_id, split FROM grouped JOIN splits USING (group_id)""",
-    "q14_preflight": f"""WITH {OBJECTS}, {ORDER_ITEMS}, {DISTRIBUTION},
-one AS (SELECT coalesce(max(images) FILTER (split = 'train'), 0) AS ti, coalesce(max(objects) FILTER (split = 'train'), 0) AS tob, coalesce(max(negative_images) FILTER (split = 'train'), 0) AS tn,
-               coalesce(max(images) FILTER (split = 'validation'), 0) AS vi, coalesce(sum(objects), 0) AS n FROM distribution WHERE class_id IS NULL),
-met AS (SELECT class_id, count(*) AS total, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation FROM objects JOIN order_items USING (image_id) GROUP BY class_id),
-cls AS (SELECT coalesce(d.class_id, m.class_id) AS class_id, coalesce(total, 0) AS total, coalesce(train, 0) AS train, coalesce(validation, 0) AS validation FROM (VALUES ('A'), ('N'), ('R'), ('Z')) d(class_id) FULL JOIN met m ON d.class_id = m.class_id),
-top AS (SELECT max(total) AS top, count(*) AS k FROM cls),
-tiny AS (SELECT count(*) AS small FROM objects JOIN order_items USING (image_id) WHERE least(x2 - x1, y2 - y1) < 32),
-w AS (SELECT * FROM one, top, tiny)
-SELECT 'blocking' AS severity, 'missing_train_split' AS rule, '' AS class_id FROM w WHERE ti = 0
-UNION ALL SELECT 'blocking', 'missing_validation_split', '' FROM w WHERE vi = 0
-UNION ALL SELECT 'blocking', 'train_without_objects', '' FROM w WHERE ti > 0 AND tob = 0
-UNION ALL SELECT 'warning', 'small_train_split', '' FROM w WHERE ti > 0 AND ti < 100
-UNION ALL SELECT 'warning', 'no_negative_train_images', '' FROM w WHERE ti > 0 AND vi > 0 AND tn = 0
-UNION ALL SELECT 'warning', 'small_object_dominant', '' FROM w WHERE n > 0 AND small / n > 0.5
-UNION ALL SELECT 'warning', 'dominant_class', '' FROM w WHERE n > 0 AND top / n > 0.9 AND k > 1
-UNION ALL SELECT 'warning', 'unused_class', class_id FROM cls WHERE total = 0
-UNION ALL SELECT 'blocking', 'class_without_train_instances', class_id FROM cls WHERE total > 0 AND train = 0
-UNION ALL SELECT 'warning', 'class_below_min_train_instances', class_id FROM cls WHERE train > 0 AND train < 10
-UNION ALL SELECT 'warning', 'class_not_evaluated', class_id FROM cls WHERE train > 0 AND validation = 0""",
+    "q14_preflight": preflight_sql(OBJECTS, ORDER_ITEMS),
     "q15_open_properties": "SELECT event_id, k, k >= 50 AS high FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)",
     "q16_clean_paths": r"""WITH p AS (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS path FROM pages)
 SELECT page_id, NOT regexp_matches(path, '[\\:\x00]') AND len(list_filter(string_split(path, '/'), lambda s: s IN ('', '.', '..'))) = 0 AS clean,
@@ -128,7 +133,7 @@ SELECT l_orderkey, CAST(len(i) AS BIGINT) AS n_inputs, CAST(len(o) AS BIGINT) AS
          min(CASE WHEN b.pos IS NOT NULL THEN greatest(abs(b.x1 - a.x1), abs(b.y1 - a.y1), abs(b.x2 - a.x2), abs(b.y2 - a.y2)) END) AS delta
   FROM valid a LEFT JOIN valid b ON a.image_id = b.image_id AND a.class_id = b.class_id AND b.pos % 2 = 0 WHERE a.pos % 2 = 1 GROUP BY ALL)
 SELECT class_id, count(*) AS n, count(best) AS matched, round(median(best), 6) AS median_iou, round(median(delta), 6) AS median_delta, round(max(best), 6) AS greatest_iou FROM m GROUP BY class_id""",
-    "q21_mapping_closure": "SELECT DISTINCT p_type AS field, 'unmapped_category' AS rule FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size <= 2)",
+    "q21_mapping_closure": "SELECT DISTINCT p_type AS field, 'unmapped_category' AS rule FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 1 AND p_brand = 'Brand#1')",
     "q22_stable_order": f"WITH {_split_sql('SELECT c_name AS group_id FROM customer', 'SELECT c_name AS group_id, c_mktsegment AS class_id FROM customer', 'customers', 7, 0.7)} SELECT group_id, split FROM splits",
     "q23_unapproved": f"WITH {ITEMS}, s AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id), j AS (SELECT item_id, CASE quality WHEN 1 THEN 'approved' WHEN 0 THEN 'rejected' ELSE 'candidate' END AS status FROM items LEFT JOIN s ON item_id = doc_id) SELECT * FROM j WHERE status <> 'approved'",
     "q25_digest_mod": f"WITH {ITEMS} SELECT item_id, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(image_sha256, ''), lambda c: CAST(strpos('0123456789abcdef', c) - 1 AS BIGINT))), lambda a, d: (a * 16 + d) % 9) AS BIGINT) AS palette FROM items",

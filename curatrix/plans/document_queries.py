@@ -194,4 +194,16 @@ def q51_machine_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", strings.is_machine_path(F.col("value")).alias("machine"), strings.pointer_escape(F.col("value")).alias("pointer"), strings.stem_of(F.concat("value", F.lit(".tar.gz"))).alias("stem"))
 
 
+def q52_preflight_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preflights of the orders' images with three other splits: none trains, none validates and none has objects, and
+    a few train on objects that are nearly all small and of one class."""
+    items, found = order_items(spark, sf_dir), objects(spark, sf_dir)
+    ontology = spark.createDataFrame([("A",), ("N",), ("R",), ("Z",)], "class_id string")
+    few = items.withColumn("split", F.when(F.col("image_id") % 400 == 1, "train").otherwise("validation"))
+    alike = found.withColumn("class_id", F.when(F.col("image_id") % 400 != 1, F.when(F.col("image_id") % 97 == 0, "N").otherwise("A")).when(F.col("pos") == 1, "R").otherwise("A")).withColumn("x2", F.col("x1") + 5)
+    cases = {"untrained": (items.withColumn("split", F.lit("validation")), found), "bare": (items.withColumn("split", F.lit("train")), found.withColumn("image_id", -F.col("image_id") - 1)), "few": (few, alike)}
+    out = [preflight.preflight_findings(*tables, ontology).select(F.lit(name).alias("case"), "severity", "rule", F.coalesce("class_id", F.lit("")).alias("class_id")) for name, tables in cases.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q") and name[1].isdigit()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalogue_sql import OBJECTS, ORDER_ITEMS, VALID, iou_of
+from .catalogue_sql import OBJECTS, ORDER_ITEMS, VALID, iou_of, preflight_sql
 
 
 def _values(rows: list[tuple]) -> str:
@@ -43,6 +43,14 @@ def _package_sql(rows: list[tuple]) -> str:
 SELECT 'p' || s_suppkey || '/' || file AS document, field, rule FROM supplier JOIN faults ON s_suppkey % 27 = f"""
 
 
+_ALL_VALIDATE = ORDER_ITEMS.replace("THEN 'train'", "THEN 'validation'")
+_ALL_TRAIN = ORDER_ITEMS.replace("ELSE 'validation'", "ELSE 'train'")
+_FEW_TRAIN = "order_items AS (SELECT o_orderkey AS image_id, CAST(o_custkey AS VARCHAR) AS group_id, CASE WHEN o_orderkey % 400 = 1 THEN 'train' ELSE 'validation' END AS split FROM orders)"
+_NO_OBJECTS = OBJECTS.replace("objects AS", "given AS") + ", objects AS (SELECT * REPLACE (-image_id - 1 AS image_id) FROM given)"
+_ALIKE = OBJECTS.replace("objects AS", "given AS") + """, objects AS (
+  SELECT * REPLACE (CASE WHEN image_id % 400 <> 1 THEN CASE WHEN image_id % 97 = 0 THEN 'N' ELSE 'A' END WHEN pos = 1 THEN 'R' ELSE 'A' END AS class_id, x1 + 5 AS x2) FROM given)"""
+CASES = {"untrained": (OBJECTS, _ALL_VALIDATE), "bare": (_NO_OBJECTS, _ALL_TRAIN), "few": (_ALIKE, _FEW_TRAIN)}
+
 SOURCE = """decoded AS (SELECT o_orderkey AS id, o_orderkey % 50 AS f, o_custkey || ' ' || CAST(round(o_totalprice, -5) AS BIGINT) AS same FROM orders),
 firsts AS (SELECT same, min(id) AS first FROM decoded WHERE f > 2 GROUP BY same),
 outcomes AS (SELECT id, CASE f WHEN 0 THEN 'missing_source' WHEN 1 THEN 'decode_failed' WHEN 2 THEN 'exif_orientation' ELSE CASE WHEN id <> first THEN 'duplicate_image' END END AS reason FROM decoded LEFT JOIN firsts USING (same))"""
@@ -103,6 +111,7 @@ t AS (SELECT image_id, string_agg(line, '' ORDER BY pos) AS text FROM l GROUP BY
     "q49_metric_keys": "SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) = coalesce(list_sort(list(DISTINCT o_orderpriority) FILTER (o_orderstatus = 'O')), []) AS same FROM orders GROUP BY o_custkey",
     "q50_training_metrics": """WITH e AS (SELECT p_brand AS run, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS DOUBLE) AS epoch, CAST(count(*) OVER (PARTITION BY p_brand) AS DOUBLE) AS n, CAST(floor(p_retailprice / 100) AS DOUBLE) AS share, CAST(p_size AS DOUBLE) AS size FROM part)
 SELECT run, size AS "P", share + 1 AS "mAP50", share AS "mAP", epoch AS best_epoch, n AS epochs_recorded, size / 2 AS train_loss FROM e QUALIFY row_number() OVER (PARTITION BY run ORDER BY share DESC, epoch) = 1""",
+    "q52_preflight_cases": " UNION ALL ".join(f"SELECT '{name}' AS \"case\", severity, rule, class_id FROM ({preflight_sql(*tables)})" for name, tables in CASES.items()),
     "q51_machine_paths": r"""WITH v AS (SELECT p_partkey, ['/', '~', 'C:\', 'd:/', '', 'x/', 'c:'][p_partkey % 7 + 1] || p_name AS value FROM part)
 SELECT p_partkey, regexp_matches(value, '^([/~]|[A-Za-z]:[\\/])') AS machine, replace(replace(value, '~', '~0'), '/', '~1') AS pointer, regexp_replace(regexp_extract(value || '.tar.gz', '([^/]*)$', 1), '\.[^.]*$', '') AS stem FROM v""",
 }
