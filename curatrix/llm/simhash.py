@@ -7,9 +7,10 @@ fingerprint gives 64 keys; fingerprints with an equal key are compared and verif
 
 Fingerprints, not documents, are indexed: exact copies cost nothing more. The rows of a key are sorted
 together and stream through a task, which links the near ones to their smallest instead of writing all
-pairs: n fingerprints give fewer than n links. A key with more than RUN_ROWS fingerprints is not held in
-memory: its fingerprints are indexed once more with every two bits deleted, where those that share a
-key differ in two bits at most and are linked without comparing. Nothing is capped.
+pairs: n fingerprints give fewer than n links. Halves that more than RUN_ROWS fingerprints have are counted first and
+not indexed, so that a key, which joins two halves, has twice as many rows at most and no task holds a hot one. Their
+fingerprints, and those of keys over RUN_ROWS, are indexed once more with every two bits deleted: there four
+fingerprints at most share a key, differ in two bits at most and are linked without comparing. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .shared import checkpointed, slices, stored
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 3, 2, 42
 #: Fingerprints of one key that a task compares in memory.
 RUN_ROWS = 8192
+#: Fingerprints that a task indexes, each under 64 keys.
+INDEX_ROWS = 1 << 14
 LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -129,17 +132,13 @@ def _linked(keyed: DataFrame, keys: list[str], distance: int, run_rows: int) ->
     return keyed.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "fp").mapInArrow(run, "a long, b long")
 
 
-def _half_variants(fp: Column) -> Column:
-    """The 64 one-bit deletions of both halves; each key holds its half, the bit and the rest of the half."""
+def _half(fp: Column, high: bool) -> Column:
+    return F.shiftrightunsigned(fp, 32) if high else fp.bitwiseAND(F.lit(0xFFFFFFFF))
 
-    def key(at: Column) -> Column:
-        half = F.when(at < 32, F.shiftrightunsigned(fp, 32)).otherwise(fp.bitwiseAND(F.lit(0xFFFFFFFF)))
-        return F.shiftleft(at.cast("long"), 32).bitwiseOR(half)
 
-    parts = []
-    for at in range(64):
-        parts.append(key(F.lit(at)).bitwiseAND(F.lit(~(1 << (at % 32)))))
-    return F.array(*parts)
+def _variants(half: Column, high: bool) -> Column:
+    """The 32 one-bit deletions of a half; each key holds the half's side, the bit and the rest of the half."""
+    return F.array(*(F.lit((32 * high + bit) << 32).bitwiseOR(half.bitwiseAND(F.lit(~(1 << bit)))) for bit in range(32)))
 
 
 def _signed(mask: int) -> int:
@@ -154,10 +153,28 @@ def hamming_links(prints: DataFrame, distance: int = MAX_DISTANCE, run_rows: int
     """
     if distance not in (1, 2):
         raise ValueError("the distance is 1 or 2")
-    keyed = prints.select("fp", F.explode(_half_variants(F.col("fp"))).alias("key"))
-    found = checkpointed(_linked(keyed, ["key"], distance, run_rows))
+    prints = checkpointed(prints)
+    spread = prints.repartition(prints.count() // INDEX_ROWS + 1)
+    sides, hot = [], []
+    for high in (False, True):
+        half = _half(F.col("fp"), high).alias("half")
+        heavy = prints.groupBy(half).agg(F.count("*").alias("n")).where(F.col("n") > run_rows).select("half")
+        own = spread.select("fp", half)
+        keys = F.explode(_variants(F.col("half"), high)).alias("key")
+        if heavy.isEmpty():
+            sides.append(own.select("fp", keys))
+            continue
+        # the keys of such halves, few as they are, take the fingerprints of other halves along
+        hot_keys = heavy.select(keys)
+        keyed = own.join(heavy, "half", "left_anti").select("fp", keys)
+        hot += [own.join(heavy, "half", "left_semi").select("fp"), keyed.join(hot_keys, "key", "left_semi").select("fp")]
+        sides.append(keyed.join(hot_keys, "key", "left_anti"))
+    found = checkpointed(_linked(sides[0].unionByName(sides[1]), ["key"], distance, run_rows))
     links = found.where("b is not null").distinct()
-    crowded = found.where("b is null").select(F.col("a").alias("fp")).distinct()
+    crowded = found.where("b is null").select(F.col("a").alias("fp"))
+    for more in hot:
+        crowded = crowded.unionByName(more)
+    crowded = crowded.distinct()
     if crowded.isEmpty():
         return links
     # a fixed number of masks, 2016 for two bits
@@ -207,7 +224,8 @@ def drop_joined(rows: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFram
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE, run_rows: int = RUN_ROWS) -> DataFrame:
     """``docs`` with one row of each group of linked fingerprints: the one of the smallest id, null ids last.
 
-    Rows are chosen, not ids: null and repeated ids neither join groups nor leave one without a row.
+    Rows are chosen, not ids: null and repeated ids neither join groups nor leave one without a row. Null and empty
+    texts have the fingerprint 0 and are one group. All columns are kept unchanged, whatever their names.
     """
     rows = numbered(docs)
     own, text = (f"d{docs.columns.index(c)}" for c in (id_col, text_col))
