@@ -47,27 +47,77 @@ MORE_PHRASES = {
 }
 #: Identifier tags, before a licence expression.
 TAGS = ("spdx-license-identifier:", "license-expression:")
-#: Families of licence identifiers, by the start of the identifier.
+#: Stems of public licence identifiers and the labels of their families. A version and suffixes follow.
 FAMILIES = {
+    "0bsd": "bsd",
+    "afl": "afl",
     "agpl": "agpl",
     "apache": "apache",
+    "apsl": "apsl",
+    "artistic": "artistic",
+    "blueoak": "blueoak",
     "bsd": "bsd",
     "bsl": "bsl",
-    "cc-by": "cc-by",
-    "cc-by-nc": "cc-by-nc",
-    "cc-by-nd": "cc-by-nd",
-    "cc-by-sa": "cc-by-sa",
+    "busl": "busl",
+    "cc-pddc": "public-domain",
     "cc0": "public-domain",
+    "cddl": "cddl",
+    "cecill": "cecill",
+    "cpal": "cpal",
+    "cpl": "cpl",
+    "ecl": "ecl",
+    "elastic": "elastic",
     "epl": "epl",
+    "eupl": "eupl",
+    "ftl": "freetype",
+    "gfdl": "gfdl",
     "gpl": "gpl",
+    "hpnd": "hpnd",
     "isc": "isc",
+    "json": "json",
     "lgpl": "lgpl",
+    "libpng": "libpng",
+    "lppl": "lppl",
     "mit": "mit",
     "mpl": "mpl",
+    "ms-pl": "ms-pl",
+    "ms-rl": "ms-rl",
+    "mulanpsl": "mulan",
+    "ncsa": "ncsa",
+    "odbl": "odbl",
+    "odc-by": "odc-by",
+    "ofl": "ofl",
+    "openssl": "openssl",
+    "osl": "osl",
+    "pddl": "public-domain",
+    "php": "php",
+    "polyform": "polyform",
+    "postgresql": "postgresql",
+    "psf": "psf",
+    "python": "psf",
+    "qpl": "qpl",
+    "ruby": "ruby",
+    "sissl": "sissl",
+    "sspl": "sspl",
+    "unicode": "unicode",
     "unlicense": "public-domain",
+    "upl": "upl",
+    "vim": "vim",
+    "w3c": "w3c",
+    "wtfpl": "public-domain",
+    "x11": "x11",
+    "zlib": "zlib",
+    "zpl": "zpl",
 }
-#: Families that bind derived works; what may be used under one of them alone is restricted.
-RESTRICTED = frozenset({"agpl", "gpl", "lgpl", "mpl", "epl", "cc-by-nc", "cc-by-nd", "cc-by-sa", "proprietary"})
+#: What may follow a stem: a version or suffixes after a dash, a dot or a plus, a number, or a v and a number.
+AFTER_STEM = re.compile(r"(?:[-.+]|v?\d|$)")
+#: Attribution licences name their terms one by one; each stays in the label.
+ATTRIBUTION = re.compile(r"cc-by(?:-(?:nc|nd|sa))*(?=[-.+]|\d|$)")
+#: Families that bind derived works or their use; what may be used under one of them alone is restricted.
+RESTRICTED = frozenset({
+    "agpl", "apsl", "busl", "cddl", "cecill", "cpal", "cpl", "elastic", "epl", "eupl", "gfdl", "gpl", "lgpl", "mpl", "ms-rl", "odbl", "osl", "polyform", "proprietary", "qpl", "sissl", "sspl",
+    "cc-by-nc", "cc-by-nd", "cc-by-sa", "cc-by-nc-nd", "cc-by-nc-sa",
+})
 #: An operator binds tighter the higher it stands; ``with`` joins an exception to its licence.
 BINDS = {"or": 1, "and": 2, "with": 3}
 #: How much one place, one labelled phrase and one parsed expression show that a licence is stated.
@@ -76,21 +126,25 @@ PLACE_WEIGHT, EXPRESSION_WEIGHT = 0.5, 0.9
 #: Bytes of words to themselves, A-Z to a-z, others to a space. Bytes from 0x80 belong to words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-TOKEN = re.compile(r"\(|\)|[a-z0-9.+\-]+|[\r\n]")
+TOKEN = re.compile(r"[()/]|[a-z0-9.+\-:]+|[\r\n]")
 #: What a token must hold to be an identifier: dashes alone are the end of a comment.
 NAMED = re.compile(r"[a-z0-9]")
 
 
 def family(identifier: str) -> str | None:
-    """The licence family of an identifier such as ``gpl-2.0-only``: that of the longest known start."""
-    return max(((len(k), v) for k, v in FAMILIES.items() if identifier.startswith(k)), default=(0, None))[1]
+    """The label of an identifier such as ``gpl-2.0-only``: of the longest stem that a version, a suffix or nothing
+    follows; None for unknown identifiers."""
+    if terms := ATTRIBUTION.match(identifier):
+        return terms.group()
+    return max(((len(k), v) for k, v in FAMILIES.items() if identifier.startswith(k) and AFTER_STEM.match(identifier, len(k))), default=(0, None))[1]
 
 
 def parse_expression(text: str, start: int = 0, whole: bool = True) -> list[str] | None:
     """A licence expression in postfix order, by two stacks; None if it is not well formed.
 
-    The expression ends with its line. Unless it must be ``whole``, other text may follow: the longest well-formed
-    start counts, up to the first token that cannot go on. An expression whose line ends too early is ill formed.
+    The expression ends with its line; a slash between identifiers is an ``or``. Unless it must be ``whole``, other text
+    may follow: the longest well-formed start counts, up to the first token that cannot go on. An expression whose line
+    ends too early is ill formed.
     """
     out: list[str] = []
     held: list[str] = []
@@ -98,7 +152,9 @@ def parse_expression(text: str, start: int = 0, whole: bool = True) -> list[str]
     # the last place where all was well formed; outside brackets three operators at most are held
     best: tuple[int, list[str]] | None = None
     for match in TOKEN.finditer(text, start):
-        token = match.group()
+        # a full stop ends a sentence, not an identifier
+        token = match.group().rstrip(".:") or match.group()
+        token = "or" if token == "/" else token
         if token in "\r\n":
             break
         named = token in "()" or NAMED.search(token)
@@ -141,6 +197,11 @@ def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
     return stack[0]
 
 
+def exceptions(postfix: list[str]) -> set[str]:
+    """The exceptions that a ``with`` joins to a licence."""
+    return {postfix[k - 1] for k, token in enumerate(postfix) if token == "with" and postfix[k - 1] not in BINDS}
+
+
 def automaton(strings: dict[str, object]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for key, value in strings.items():
@@ -172,19 +233,21 @@ class Scanner:
                 more.add(label)
         first, last = (line.count(" ", 0, f(starts)) for f in (min, max)) if starts else (None, None)
         free, n_expressions = None, 0
+        joined: set[str] = set()
         lower = raw.translate(LOWER_BYTES).decode("latin-1")
         for end, _ in self.tags.iter(lower):
             if postfix := parse_expression(lower, end + 1, whole=False):
                 labels, may = evaluate(postfix)
+                joined |= exceptions(postfix)
                 more |= labels
                 n_expressions += 1
                 free = may if free is None else free and may
-        weak = 1.0 - (1.0 - PLACE_WEIGHT) ** min(len(starts) + n_more, 60)
-        score = 1.0 - (1.0 - weak) * (1.0 - EXPRESSION_WEIGHT) ** min(n_expressions, 15)
-        return len(words), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(base | more)), score, n_expressions, free
+        weak = 1.0 - (1.0 - PLACE_WEIGHT) ** (len(starts) + n_more)
+        score = 1.0 - (1.0 - weak) * (1.0 - EXPRESSION_WEIGHT) ** n_expressions
+        return len(words), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(base | more)), score, n_expressions, free, ",".join(sorted(joined))
 
 
-COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_expressions long, permissive boolean"
+COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_expressions long, permissive boolean, exceptions string"
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: dict[str, str] | None = None, more: dict[str, str] | None = None) -> DataFrame:
@@ -192,7 +255,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base phrases and their smallest and largest first word (from 0, else null); base_labels and labels,
     distinct, sorted and comma-joined ('' for none); score from 0 to 1, the strength of what was found;
     n_expressions, the well-formed expressions after tags; permissive, whether each of them leaves a
-    choice without restricted families (null without expressions).
+    choice without restricted families (null without expressions); exceptions, those that expressions join to their
+    licences, sorted and comma-joined.
 
     Places overlap freely. Whole texts are read; null counts as empty: 0 words, no labels, score 0. Ill
     formed expressions are left out. Repeated rows give equal rows; other columns are not read.

@@ -65,5 +65,35 @@ def test_comment_ends_and_prose_after_a_tag():
         assert (found[0], found[2], found[3]) == (labels, n, free), text
 
 
+def test_families_of_identifiers():
+    known = {
+        "mit": "mit", "mit-0": "mit", "gpl-2.0-only": "gpl", "gplv3": "gpl", "apache2": "apache", "apache-2.0": "apache", "bsd-3-clause": "bsd", "0bsd": "bsd", "busl-1.1": "busl", "sspl-1.0": "sspl", "lgpl-2.1+": "lgpl",
+        "cc-by-4.0": "cc-by", "cc-by-nc-sa-4.0": "cc-by-nc-sa", "cc-by-sa-3.0-de": "cc-by-sa", "cc0-1.0": "public-domain", "mpl": "mpl",
+    }
+    assert {i: ls.family(i) for i in known} == known
+    assert {ls.family(i) for i in ("mitre-x", "gplx", "iscsi", "cc-bye", "licenseref-own")} == {None}
+
+
+def test_slashes_exceptions_and_full_stops():
+    scan = lambda text: ls.Scanner(ls.BASE_PHRASES, ls.MORE_PHRASES).scan(text)
+    assert scan("SPDX-License-Identifier: MIT / Apache-2.0.")[5] == "apache,mit"
+    found = scan("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 OR BUSL-1.1")
+    assert found[5] == "busl,gpl" and found[8:] == (False, "classpath-exception-2.0")
+    assert ls.exceptions(["mit"]) == set()
+    assert scan("mit license " * 5000)[6] == 1.0
+
+
+def brute_value(text):
+    """Whether an expression may be free, by Python's own grammar over the same operators."""
+    words = re.findall(r"[()]|[a-z0-9.-]+", text)
+    return eval(" ".join(w if w in ("and", "or", "(", ")") else str(ls.family(w) not in ls.RESTRICTED) for w in words))  # noqa: S307
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(st.sampled_from(["mit", "gpl-2.0", "isc", "mpl-2.0"]), lambda inner: st.tuples(inner, st.sampled_from(["and", "or"]), inner).map(lambda t: f"({t[0]} {t[1]} {t[2]})"), max_leaves=8))
+def test_expressions_against_brute_force(text):
+    assert ls.evaluate(ls.parse_expression(text))[1] == brute_value(text)
+
+
 def test_empty_table(make_docs):
     assert ls.scan_licenses(make_docs(["x"]).limit(0)).count() == 0
