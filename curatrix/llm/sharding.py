@@ -4,7 +4,8 @@ The shard of a key depends on the key and the number of shards alone. When a sha
 either stays or moves into the new shard, and only the necessary share moves. No ring table is kept.
 
 Slots are numbered in two steps, so that no task holds a whole shard: rows are dealt into chunks by a
-hash of the key, the chunks' sizes are summed up into offsets, and each chunk numbers its own rows.
+hash of what they show, the chunks' sizes are summed up into offsets, and each chunk numbers its own rows. Rows
+that are equal are counted first and numbered as one, so that a repeated row fills no chunk.
 """
 
 from __future__ import annotations
@@ -65,22 +66,27 @@ def assign_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text
     (with one more shard; equal to shard or the new one).
 
     Null texts have size 1 and the crc32 of nothing, 0, as empty texts do. A null id is sharded like 0.
-    Rows that repeat an id share its shard and have slots of their own; slots follow a hash of the id,
-    then the id, crc32 and size. Other columns are not read; an empty table gives an empty table.
+    Rows that repeat an id share its shard and have slots of their own; slots follow a hash of id, crc32 and size,
+    then these. Other columns are not read; an empty table gives an empty table.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.col(id_col).cast("long")
     # crc32 is a built-in of Spark over the text's bytes; sizes need no copy of the text either
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), shard_of(key, shards).alias("shard"), shard_of(key, shards + 1).alias("grown_shard"))
-    rows = stored(rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(CHUNKS)).cast("int")), "shards")
-    chunks = rows.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    rows = stored(rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(CHUNKS)).cast("int")), "shards")
+    chunks = rows.groupBy("shard", "chunk").agg(F.sum("n").alias("n"))
     before = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.select("shard", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "chunk").orderBy("id", "text_crc32", "size")
-    numbered = rows.withColumn("row", F.row_number().over(inside)).join(offsets, ["shard", "chunk"])
-    return numbered.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("row") - 1).cast("long").alias("slot"), "grown_shard")
+    inside = Window.partitionBy("shard", "chunk").orderBy("id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("start", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, ["shard", "chunk"])
+    numbered = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return numbered.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("start") + F.col("copy")).cast("long").alias("slot"), "grown_shard")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8, id_col: str = "doc_id") -> None:
-    """``docs`` written as Parquet under ``path``, a folder ``shard=k`` for each shard that has rows."""
+    """``docs`` written as Parquet under ``path``, a folder ``shard=k`` for each shard that has rows; null ids go with id 0.
+
+    A column named shard is replaced; an existing ``path`` raises and an empty table writes no shard.
+    """
     docs.withColumn("shard", shard_of(F.col(id_col), shards)).write.partitionBy("shard").parquet(path)
