@@ -40,7 +40,7 @@ SEGMENT_BITS = 16
 #: Rows that a group holds on average at most, by which its first bits are counted.
 GROUP_BITS, LEAST_PREFIX = 16, 2
 #: Words of the sketch, and in how many of its bits candidates may differ: 0.8 gives 19 of 128, chance 64.
-SKETCH_WORDS, SKETCH_DISTANCE = 2, 38
+SKETCH_WORDS, SKETCH_DISTANCE = 2, 35
 #: In the first search texts with nearer sketches are linked, with the middle one of a run of more than SMALL_RUN.
 FIRST_DISTANCE, SMALL_RUN = 30, 4
 #: Rows of a run that are compared step by step; those of a larger one go component by component.
@@ -174,7 +174,7 @@ def _printed(texts: DataFrame, layout: Layout, shingle_words: int) -> DataFrame:
             prints = [wide_print(own, layout.width).view(np.int64) for own in sets]
             yield pa.record_batch([batch.column("row"), batch.column("id"), pa.array(nodes.view(np.int64)), pa.array([len(own) for own in sets], pa.int64()), pa.array(prints, pa.list_(pa.int64()))], ["row", "id", "node", "n", "fp"])
 
-    return texts.mapInArrow(run, f"row long, id {texts.schema['id'].dataType.simpleString()}, node long, n long, fp array<long>")
+    return texts.mapInArrow(run, f"row {texts.schema['row'].dataType.simpleString()}, id {texts.schema['id'].dataType.simpleString()}, node long, n long, fp array<long>")
 
 
 def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
@@ -299,7 +299,7 @@ def similar_parts(keyed: DataFrame, texts: DataFrame, layout: Layout, shingle_wo
     prints = checkpointed(keyed.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp")))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct()).distinct()
         rows = prints.select("node", "row").join(wanted, "node", "left_semi")
         return checkpointed(_sets(texts.join(rows, "row").select("node", "text"), shingle_words))
 

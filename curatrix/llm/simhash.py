@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .shared import checkpointed, slices, stored
+from .shared import checkpointed, shared_path, slices
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 3, 2, 42
 #: Fingerprints of one key that a task compares in memory.
@@ -207,7 +207,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` stored with the columns d0, d1, ... and row, a number of its own for each row."""
     names = [f"d{k}" for k in range(len(docs.columns))]
-    return stored(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    rows = docs.toDF(*names).withColumn("row", F.monotonically_increasing_id())
+    path = shared_path(docs.sparkSession, "numbered")
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def drop_joined(rows: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:

@@ -111,3 +111,16 @@ def test_crowded_variants_lose_no_link(spark, make_docs, words, monkeypatch):
 
 def test_empty_table(make_docs):
     assert nt.drop_near_copies(make_docs(["x"]).limit(0)).count() == 0
+
+
+def test_rows_of_files_and_of_other_tables(spark, make_docs, words, tmp_path):
+    base = words(80)
+    texts = [base, "other " + words(60), base.upper(), None, "", words(70)]
+    docs = make_docs(texts, ids=[1, 2, 2, None, None, 6])
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    again = read.unionByName(read)
+    key = lambda r: (r.doc_id or 0, r.text or "")
+    want = sorted([(1, base), (2, texts[1]), (0, ""), (6, texts[5])])
+    for table in (docs, read, again, read.where("doc_id is not null or text = '' or text is null")):
+        assert sorted(map(key, nt.drop_near_copies(table).collect())) == want
