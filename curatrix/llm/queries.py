@@ -37,28 +37,34 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest rule that fits and verdict of every page; null urls have empty parts and the default verdict."""
     found = url_filter.filter_urls(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, RULES), "page_id")
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, places of base phrases, labels, score and licence expressions of every document; null texts are empty."""
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer products of every query vector with all other vectors; unusable vectors take no part."""
     return exact_topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard, slot and shard after growth of every document under the law ``key``; null texts have size 1."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target, taken words and first training position of every document; null texts have size 0 and are not taken."""
     plan = mixing.in_training_order(mixing.curriculum_plan(_table(spark, sf_dir, "documents")))
     return plan.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 12).alias("position"))
 
 
 def op7_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored in Ogg, read back, with digests and features of both; null texts are one unit of spaces."""
     return ogg_media.read_media(ogg_media.encode_texts_as_media(_table(spark, sf_dir, "documents")))
 
 
@@ -70,10 +76,12 @@ def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; texts without words have the fingerprint 0 and link to each other."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and prediction of every document by a model of the labels outside the held-out fold; null texts score as empty."""
     docs = _table(spark, sf_dir, "documents")
     scored = toxicity.score_texts(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT_FROM).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
