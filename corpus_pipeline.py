@@ -15,22 +15,31 @@ from curatrix.llm.shared import shared_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.7; the model is fitted on the labels beside the documents."""
+    """Documents whose toxicity score is below 0.7; the model is fitted on the labels beside the documents.
+
+    Null and empty texts score as clean and stay; repeated rows stay or go together; null ids have no label.
+    """
     return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of texts whose five-word shingles are alike to 0.8 or more."""
+    """The document with the smallest id of each group of texts whose five-word shingles are alike to 0.8 or more.
+
+    Null and empty texts are one group; of equal ids one row stays, null ids come last; no row goes for its id alone.
+    """
     return near_texts.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, whole, in the order of the curriculum."""
+    """Each document as often as the mix takes it, whole, in the order of the curriculum.
+
+    Null sources are one source; null and empty texts have no words and are not taken; repeated rows count each.
+    """
     return mixing.mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, token_ids, n_tokens and n_byte_tokens of each mixed document."""
+    """doc_id, token_ids, n_tokens and n_byte_tokens of each mixed document; null and empty texts have no ids."""
     return sentencepiece_fst.encode_texts(docs, _file(spark, "sentencepiece", "piece_bpe_32k.model"))
 
 
