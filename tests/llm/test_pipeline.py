@@ -53,3 +53,16 @@ def test_queries_match_their_sql(spark, sf_dir, name):
     assert sorted(theirs.columns) == names
     clean = lambda rows: sorted(repr([None if x is None or x != x else round(float(x), 9) if isinstance(x, float) else x if isinstance(x, str) else int(x) for x in r]) for r in rows)
     assert clean([tuple(r[c] for c in names) for r in ours.collect()]) == clean(theirs[names].itertuples(index=False, name=None))
+
+
+def test_stages_on_nulls_repeats_clashes_and_nothing(spark, sf_dir, make_docs, words):
+    a, b = words(60), words(60)
+    docs = make_docs([None, "", a, a, b, b, "one two"], sources=["s", None, "s", "t", None, "t", "s"], ids=[None, 1, 2, 2, None, 7, 8])
+    sizes = {}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+        sizes[name] = stage(spark, docs, sf_dir).count()
+    # clean texts stay; one row of the empty texts, of each copied text and of the short one; the mix leaves empty ones out
+    assert sizes["toxicity"] == 7 and sizes["simhash_near_dedup"] == 4 and sizes["sentencepiece"] == 7
+    mixed = corpus_pipeline.mix_sources(spark, docs, sf_dir)
+    assert mixed.columns == docs.columns and mixed.where("text is null or text = ''").count() == 0
