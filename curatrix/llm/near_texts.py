@@ -14,12 +14,17 @@ The index is searched twice. At first the texts of an equal segment are compared
 alone, which joins most copies of a text; the second search leaves out what is in one component already, so that
 n copies take about n comparisons and not n * n. It compares all others that share a variant: nothing is
 capped. Candidates are verified on the sets, those first that differ least.
+
+Texts that the first search finds near many others, edited copies of one text mostly, are the crowd. Among them
+the second search uses one more test: a shingle that one text alone of the crowd has is in no intersection and
+in every union, so the numbers of shared shingles, counted in SHARES parts of the hashes, and of all shingles bound a
+pair's similarity from above. Pairs whose bound is too low are never written.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +55,12 @@ NEAREST, MORE = 2, 32
 #: Fingerprints that differ by so many standard deviations more than a pair at the least similarity are not verified;
 #: sets of fewer shingles than SMALL scatter more and are verified up to a wider limit.
 DEVIATIONS, SMALL, SMALL_SHARE = 4.0, 32, 0.3
+#: A text with more candidates than this in the first search is in the crowd.
+CROWD = 4
+#: Parts, by their hashes' last bits, in which the shared shingles of a text of the crowd are counted.
+SHARES = 32
+#: The part that all of them have in the search of the others: no text's own hash but by a chance of 1 in 2**64.
+CROWD_PART = 0
 #: Shingles whose bits are counted at once.
 BLOCK = 255 * 16
 
@@ -103,7 +114,7 @@ class Layout:
         return bits.reshape(len(prints), self.segments, self.bits) @ powers
 
 
-def _near(sketches: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+def _near(sketches: np.ndarray, a: np.ndarray, b: np.ndarray | int, limit: int) -> np.ndarray:
     return np.bitwise_count(sketches[a] ^ sketches[b]).sum(1) <= limit
 
 
@@ -141,14 +152,22 @@ def middle_pairs(values: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[np.
         yield np.full(len(found), middle), found
 
 
-def near_pairs(values: np.ndarray, sketches: np.ndarray, parts: np.ndarray, masks: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of different parts whose values agree under one of the masks and whose sketches are near."""
+def may_link(n: np.ndarray, shared: np.ndarray, a: np.ndarray, b: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Whether rows may have the similarity if they have ``n`` shingles, ``shared`` (by parts) of which other rows have too."""
+    common = np.minimum(shared[a], shared[b]).sum(1)
+    return common / (n[a] + n[b] - common) >= similarity
+
+
+def near_pairs(values: np.ndarray, parts: np.ndarray, masks: list[int], near: Callable[[np.ndarray, np.ndarray | int], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of different parts whose values agree under one of the masks and that are ``near``."""
     for mask in masks:
         masked = values & np.uint64(mask)
         at = np.argsort(masked, kind="stable")
         starts, sizes = _runs(masked[at])
         for a, b in _steps(at, starts, sizes, RUN_ROWS):
-            found = (parts[a] != parts[b]) & _near(sketches, a, b, SKETCH_DISTANCE)
+            apart = parts[a] != parts[b]
+            a, b = a[apart], b[apart]
+            found = near(a, b)
             yield a[found], b[found]
         for k in np.flatnonzero(sizes > RUN_ROWS):
             rows = at[starts[k] : starts[k] + sizes[k]]
@@ -159,7 +178,7 @@ def near_pairs(values: np.ndarray, sketches: np.ndarray, parts: np.ndarray, mask
             for first, last in zip(np.append(0, ends[:-2]), ends[:-1], strict=False):
                 for row in rows[first:last]:
                     rest = rows[last:]
-                    found = rest[np.bitwise_count(sketches[rest] ^ sketches[row]).sum(1) <= SKETCH_DISTANCE]
+                    found = rest[near(rest, row)]
                     yield np.full(len(found), row), found
 
 
@@ -188,11 +207,13 @@ def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _index(prints: DataFrame, layout: Layout, whole: bool) -> DataFrame:
-    """(key, node, part, s0, s1): the rows of the index, sorted in partitions of whole groups. A key numbers the segment,
+def _index(prints: DataFrame, layout: Layout, whole: bool, counted: bool) -> DataFrame:
+    """(key, node, part, s0, s1), with n and shared if ``counted``: the rows of the index, sorted in partitions of whole groups. A key numbers the segment,
     the deleted prefix bit and the prefix, which make the group, and the segment's other bits. Without ``whole``
     only the rows without a deleted prefix bit."""
     low, prefix = layout.bits - layout.prefix, layout.prefix
+    names = ["node", "part", *(["n"] if counted else [])]
+    binary = ["shared"] if counted else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,20 +223,23 @@ def _index(prints: DataFrame, layout: Layout, whole: bool) -> DataFrame:
                 values = layout.values(matrix)
                 head, rest = values >> np.uint64(low), values & np.uint64((1 << low) - 1)
                 first = np.arange(layout.segments, dtype=np.uint64)[None, :] * np.uint64(prefix + 1)
-                node, part = (np.repeat(rows.column(c).to_numpy(), layout.segments) for c in ("node", "part"))
+                shared = rows.column("shared").flatten().to_numpy().reshape(rows.num_rows, SHARES) if counted else []
+                own = [pa.array(np.repeat(np.array([c.tobytes() for c in shared], object), layout.segments), pa.binary())] if counted else []
+                carried = [pa.array(np.repeat(rows.column(c).to_numpy(), layout.segments)) for c in names]
                 sketch = np.repeat(matrix[:, -SKETCH_WORDS:].view(np.int64), layout.segments, axis=0)
                 for deleted in range(0 if whole else prefix, prefix + 1):
                     kept = head & ~np.uint64(1 << deleted) if deleted < prefix else head
                     key = (((first + np.uint64(deleted)) << np.uint64(prefix)) | kept) << np.uint64(low) | rest
-                    yield pa.record_batch([pa.array(key.ravel().view(np.int64)), pa.array(node), pa.array(part), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])], ["key", "node", "part", "s0", "s1"])
+                    yield pa.record_batch([pa.array(key.ravel().view(np.int64)), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), *carried, *own], ["key", "s0", "s1", *names, *binary])
 
-    rows = prints.select("node", "part", "fp").mapInArrow(run, "key long, node long, part long, s0 long, s1 long")
+    rows = prints.select(*names, *binary, "fp").mapInArrow(run, ", ".join([f"{c} long" for c in ("key", "s0", "s1", *names)] + [f"{c} binary" for c in binary]))
     return rows.repartition(F.shiftright("key", low)).sortWithinPartitions("key")
 
 
-def candidates(prints: DataFrame, layout: Layout, whole: bool) -> DataFrame:
+def candidates(prints: DataFrame, layout: Layout, whole: bool, similarity: float | None = None) -> DataFrame:
     """Distinct pairs (a, b) of nodes that share a variant and have near sketches, from (node, part, fp): of
-    different parts and all of them with ``whole``, else those of ``middle_pairs``."""
+    different parts and all of them with ``whole``, else those of ``middle_pairs``. With a ``similarity``, which
+    needs the columns n and shared, only the pairs that may have it."""
     low, prefix = layout.bits - layout.prefix, layout.prefix
     rest = np.uint64((1 << low) - 1)
 
@@ -227,7 +251,18 @@ def candidates(prints: DataFrame, layout: Layout, whole: bool) -> DataFrame:
         # with a prefix bit deleted the rest must be equal
         deleted = (place >> prefix) % (prefix + 1)
         masks = [int(rest)] if deleted < prefix else [int(rest) ^ (1 << k) for k in range(low)]
-        found = list(near_pairs(values, sketches, parts, masks) if whole else middle_pairs(values, sketches))
+
+        if similarity is not None:
+            n, shared = table.column("n").to_numpy(), np.frombuffer(b"".join(table.column("shared").to_pylist()), np.int32).reshape(-1, SHARES)
+
+        def near(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+            found = _near(sketches, a, b, SKETCH_DISTANCE)
+            if similarity is not None:
+                at = np.flatnonzero(found)
+                found[at] = may_link(n, shared, a[at], np.broadcast_to(b, len(a))[at], similarity)
+            return found
+
+        found = list(near_pairs(values, parts, masks, near) if whole else middle_pairs(values, sketches))
         a, b = (nodes[np.concatenate([f[k] for f in found])] if found else nodes[:0] for k in (0, 1))
         once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         yield pa.record_batch([pa.array(once[:, 0]), pa.array(once[:, 1])], ["a", "b"])
@@ -248,7 +283,7 @@ def candidates(prints: DataFrame, layout: Layout, whole: bool) -> DataFrame:
         if held:
             yield from close(current, held)
 
-    return _index(prints, layout, whole).mapInArrow(run, "a long, b long").distinct()
+    return _index(prints, layout, whole, similarity is not None).mapInArrow(run, "a long, b long").distinct()
 
 
 def _differing(a: Column, b: Column) -> Column:
@@ -303,13 +338,40 @@ def similar_parts(keyed: DataFrame, texts: DataFrame, layout: Layout, shingle_wo
         rows = prints.select("node", "row").join(wanted, "node", "left_semi")
         return checkpointed(_sets(texts.join(rows, "row").select("node", "text"), shingle_words))
 
-    first = _plausible(candidates(prints.withColumn("part", F.col("node")), layout, whole=False), prints, layout)
-    parts = connect(first, sets_of(first), similarity)
-    placed = prints.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    rest = _plausible(candidates(placed, layout, whole=True).join(first, ["a", "b"], "left_anti"), prints, layout)
+    met = checkpointed(candidates(prints.withColumn("part", F.col("node")), layout, whole=False))
+    sets = sets_of(met)
+    parts = connect(_plausible(met, prints, layout), sets, similarity)
+    crowd = _shared(sets.join(_crowd(met, parts), "node", "left_semi"))
+    placed = prints.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).join(crowd, "node", "left")
+    # the crowd as one part is not compared with itself
+    found = candidates(placed.withColumn("part", F.when(F.col("shared").isNull(), F.col("part")).otherwise(CROWD_PART)), layout, whole=True)
+    if not crowd.isEmpty():
+        found = found.unionByName(candidates(placed.where("shared is not null"), layout, True, similarity))
+    rest = _plausible(found.join(met, ["a", "b"], "left_anti"), prints, layout)
     return connect(rest, sets_of(rest), similarity, parts)
 
 
+def _crowd(met: DataFrame, parts: DataFrame) -> DataFrame:
+    """(node) of the texts with more than CROWD candidates, of the candidates of these, and of all in a component with one."""
+    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    many = both.groupBy("a").agg(F.count("*").alias("partners")).where(F.col("partners") > CROWD).select(F.col("a").alias("node"))
+    seen = many.unionByName(both.join(many, F.col("b") == F.col("node"), "left_semi").select(F.col("a").alias("node"))).distinct()
+    roots = parts.join(seen, "node", "left_semi").select("component").distinct()
+    return checkpointed(seen.unionByName(parts.join(roots, "component", "left_semi").select("node")).distinct())
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """(node, shared): how many of its shingles each set has in common with any other of ``sets``, in SHARES counts."""
+    rows = sets.select("node", F.explode("shingles").alias("shingle"))
+    holders = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
+    place = F.col("shingle").bitwiseAND(F.lit(SHARES - 1))
+    counts = lambda df: df.groupBy("node").agg(F.array(*(F.count_if(place == k).cast("int") for k in range(SHARES))).alias("counts"))
+    alone = counts(holders.where("holders = 1")).withColumnRenamed("counts", "alone")
+    both = counts(rows).join(alone, "node", "left")
+    shared = F.when(F.col("alone").isNull(), F.col("counts")).otherwise(F.zip_with("counts", "alone", lambda a, b: a - b))
+    return checkpointed(both.select("node", shared.alias("shared")))
+
+
 def _plausible(pairs: DataFrame, prints: DataFrame, layout: Layout) -> DataFrame:
     """(a, b, bits) of the candidates whose whole fingerprints differ in few enough bits."""
     ends = [prints.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("fp").alias(f"fp_{c}")) for c in ("a", "b")]

@@ -92,7 +92,7 @@ def test_near_pairs_against_all_pairs(monkeypatch):
     want = {(i, j) for i in range(len(values)) for j in range(i) if (int(values[i]) ^ int(values[j])).bit_count() <= 1 and parts[i] != parts[j]}
     for most in (64, 4, 1):
         monkeypatch.setattr(nt, "RUN_ROWS", most)
-        got = {(max(x, y), min(x, y)) for a, b in nt.near_pairs(values, sketches, parts, masks) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+        got = {(max(x, y), min(x, y)) for a, b in nt.near_pairs(values, parts, masks, lambda a, b: np.ones(len(a), bool)) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
         assert got == want
     for a, b in nt.middle_pairs(values, sketches):
         assert (values[a] == values[b]).all() and (a != b).all()
@@ -109,6 +109,33 @@ def test_crowded_variants_lose_no_link(spark, make_docs, words, monkeypatch):
     assert sorted(r.doc_id for r in nt.drop_near_copies(docs).collect()) == want
 
 
+def test_the_bound_of_the_crowd_holds_for_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    pool = rng.integers(-(1 << 63), 1 << 63, 300)
+    sets = [np.unique(np.concatenate([rng.choice(pool, rng.integers(1, 300), replace=False), rng.integers(-(1 << 63), 1 << 63, rng.integers(0, 40))])) for _ in range(30)]
+    sets += [np.array([1, 2]), np.array([3])]  # what no other has
+    rows = {r.node: r.shared for r in nt._shared(spark.createDataFrame([(k, own.tolist()) for k, own in enumerate(sets)], "node long, shingles array<long>")).collect()}
+    n, shared = np.array([len(own) for own in sets]), np.array([rows[k] for k in range(len(sets))])
+    for i, own in enumerate(sets):
+        assert shared[i].sum() == sum(any(s in set(other.tolist()) for k, other in enumerate(sets) if k != i) for s in own.tolist())
+    a, b = np.triu_indices(len(sets), 1)
+    true = np.array([len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)])
+    for similarity in (0.3, 0.5, 0.8):
+        assert nt.may_link(n, shared, a, b, similarity)[true >= similarity].all()
+
+
+def test_a_crowd_of_edited_copies_against_all_pairs(spark, make_docs, words):
+    rng = random.Random(12)
+    base = words(150)
+    # most lie below 0.8 to each other, some link through one in the middle, some share their edits
+    texts = [base, *(edited(rng, base, rng.randint(1, 12)) for _ in range(60))]
+    texts += [edited(rng, texts[-k], 1) for k in range(1, 20)]
+    docs = make_docs(texts)
+    kept = sorted(r.doc_id for r in nt.drop_near_copies(docs).collect())
+    assert kept == brute_kept(list(enumerate(texts, 1)))
+    assert len(kept) > 10
+
+
 def test_empty_table(make_docs):
     assert nt.drop_near_copies(make_docs(["x"]).limit(0)).count() == 0
 
