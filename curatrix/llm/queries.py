@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_topk, license_scan, mixing, ogg_media, sentencepiece_fst, sharding, simhash, toxicity, training_order, url_filter
+from . import decontamination, exact_topk, fill_in_middle, license_scan, mixing, ogg_media, sentencepiece_fst, sharding, simhash, toxicity, training_order, url_filter
 
 #: Where the public tokenizers' files are; both paths may be given by the session's settings.
 TOKENIZERS = "/opt/tokenizers"
@@ -87,7 +87,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT_FROM).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_license_scan, op4_exact_topk, op5_sharding, op6_mixing, op7_ogg_media, op8_training_order, op9_simhash, op10_toxicity)}
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item, and the items; null texts have no words."""
+    return decontamination.contamination_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's fill-in-the-middle text and of the text restored from it; null texts are empty."""
+    return fill_in_middle.fim_digests(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_license_scan, op4_exact_topk, op5_sharding, op6_mixing, op7_ogg_media, op8_training_order, op9_simhash, op10_toxicity, op11_decontamination, op13_fill_in_middle)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
@@ -124,5 +134,29 @@ parts AS (SELECT *, greatest(0, least(size, asked - epochs * source_size - start
   CASE place % 3 WHEN 0 THEN CAST(1.5 AS DOUBLE) WHEN 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS a, CASE place % 3 WHEN 0 THEN CAST(0.5 AS DOUBLE) WHEN 1 THEN CAST(1 AS DOUBLE) ELSE CAST(1.5 AS DOUBLE) END AS b FROM laid)
 SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) AS taken,
   CASE WHEN size > 0 AND (epochs > 0 OR part > 0) THEN round(CASE WHEN a = b THEN share ELSE (sqrt(greatest(0, a * a + 2 * (b - a) * (share * (a + b) / 2))) - a) / (b - a) END, 12) END AS position
+FROM parts""",
+    "op11_decontamination": r"""WITH doc AS (SELECT row_number() OVER () AS k, doc_id,
+  coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+item AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (SELECT DISTINCT item, l, array_to_string(w[a : a + l - 1], ' ') AS said
+  FROM (SELECT item, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS a FROM item WHERE len(w) > 0)),
+places AS (SELECT k, l, a, array_to_string(w[a : a + l - 1], ' ') AS said
+  FROM (SELECT k, w, l, unnest(range(1, len(w) - l + 2)) AS a FROM doc, (SELECT DISTINCT l FROM windows))),
+met AS (SELECT k, a, p.l, item FROM places p JOIN windows USING (l, said)),
+hit AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(a, a + l)) AS place FROM (SELECT DISTINCT k, a, l FROM met)) GROUP BY k),
+held AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT k, item FROM met) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (k) LEFT JOIN held USING (k)""",
+    "op13_fill_in_middle": r"""WITH cut AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda x: CAST('0x' || substr(d, x, 8) AS BIGINT)) AS h FROM cut),
+formed AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS low, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS high,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(u[1 : low], '') AS prefix, array_to_string(u[low + 1 : high], '') AS middle, array_to_string(u[high + 1 : n], '') AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
 FROM parts""",
 }
