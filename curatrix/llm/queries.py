@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_topk, fill_in_middle, license_scan, mixing, ogg_media, sentencepiece_fst, sharding, simhash, toxicity, training_order, url_filter
+from . import decontamination, exact_topk, fill_in_middle, hard_negatives, license_scan, mixing, ogg_media, sentencepiece_fst, sharding, simhash, toxicity, training_order, url_filter
 
 #: Where the public tokenizers' files are; both paths may be given by the session's settings.
 TOKENIZERS = "/opt/tokenizers"
@@ -92,12 +92,17 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive; rows without label or usable vector take no part."""
+    return hard_negatives.mine_hard_negatives(hard_negatives.contract_labels(_table(spark, sf_dir, "embeddings")))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form, cuts and digests of every document's fill-in-the-middle text and of the text restored from it; null texts are empty."""
     return fill_in_middle.fim_digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_license_scan, op4_exact_topk, op5_sharding, op6_mixing, op7_ogg_media, op8_training_order, op9_simhash, op10_toxicity, op11_decontamination, op13_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_license_scan, op4_exact_topk, op5_sharding, op6_mixing, op7_ogg_media, op8_training_order, op9_simhash, op10_toxicity, op11_decontamination, op12_hard_negatives, op13_fill_in_middle)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
@@ -149,6 +154,17 @@ held AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS i
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (k) LEFT JOIN held USING (k)""",
+    "op12_hard_negatives": """WITH usable AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.k, a.vec_id AS anchor_id, c.k AS other, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.k <> c.k WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) <= 5),
+mined AS (SELECT p.k, p.other, p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+  row_number() OVER (PARTITION BY p.k, p.other ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n ON p.k = n.k AND NOT n.same WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM mined WHERE place <= 5""",
     "op13_fill_in_middle": r"""WITH cut AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
 drawn AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda x: CAST('0x' || substr(d, x, 8) AS BIGINT)) AS h FROM cut),
