@@ -66,11 +66,13 @@ def greedy_matches(references: DataFrame, decoded: DataFrame, frame: str, accept
     return found.select(frame, F.inline("found"))
 
 
-def nearest_matches(references: DataFrame, decoded: DataFrame, keys: list[str]) -> DataFrame:
-    """Each decoded row with the greatest overlap and the least largest side difference over the references of
-    its ``keys`` (frame and class); null where there is none."""
+def nearest_matches(references: DataFrame, decoded: DataFrame, keys: list[str], frame: str, top: int = 20) -> DataFrame:
+    """Each of the ``top`` decoded rows of a frame with the greatest overlap and the least largest side difference over
+    those of the frame's ``top`` references that have its ``keys`` (frame and class); null where there is none. Rows
+    rank by falling confidence, then pos."""
     a, b = Box.named("r_"), Box.named("")
-    refs = references.select(*keys, *(F.col(c).alias(f"r_{c}") for c in ("x1", "y1", "x2", "y2")))
+    best = lambda df: df.withColumn("_k", F.row_number().over(Window.partitionBy(frame).orderBy(F.desc("confidence"), "pos"))).where(F.col("_k") <= top).drop("_k")
+    refs = best(references).select(*keys, *(F.col(c).alias(f"r_{c}") for c in ("x1", "y1", "x2", "y2")))
     delta = F.greatest(*(F.abs(r - d) for r, d in zip(a.sides, b.sides, strict=True)))
-    pairs = decoded.join(refs, keys, "left").withColumn("o", F.when(F.col("r_x1").isNotNull(), iou(a, b))).withColumn("delta", delta)
+    pairs = best(decoded).join(refs, keys, "left").withColumn("o", F.when(F.col("r_x1").isNotNull(), iou(a, b))).withColumn("delta", delta)
     return pairs.groupBy(*keys, "pos").agg(F.max("o").alias("best_iou"), F.min("delta").alias("least_delta"))

@@ -181,7 +181,7 @@ def q19_best_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q20_nearest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd objects against even ones of their image and class: best overlap and least side difference."""
     rows = valid_objects(spark, sf_dir)
-    found = nms.nearest_matches(rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1"), ["image_id", "class_id"])
+    found = nms.nearest_matches(rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1"), ["image_id", "class_id"], "image_id")
     summary = found.groupBy("class_id").agg(F.count("*").alias("n"), F.count("best_iou").alias("matched"), F.round(F.median("best_iou"), 6).alias("median_iou"), F.round(F.median("least_delta"), 6).alias("median_delta"), F.round(F.max("best_iou"), 6).alias("greatest_iou"))
     return summary
 

@@ -128,10 +128,10 @@ SELECT id, here AS root, depth, 'complete' AS state FROM w WHERE nxt IS NULL""",
     "q18_lineage_sets": """WITH s AS (SELECT l_orderkey, list_sort(list(DISTINCT sha256(CAST(l_suppkey AS VARCHAR)))) AS i, coalesce(list_sort(list(DISTINCT sha256(CAST(l_suppkey AS VARCHAR))) FILTER (l_linenumber <= 3)), []) AS o FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey, CAST(len(i) AS BIGINT) AS n_inputs, CAST(len(o) AS BIGINT) AS n_outputs FROM s WHERE i <> o""",
     "q19_best_row": "SELECT o_custkey, o_orderkey, CAST(p AS BIGINT) AS price FROM (SELECT *, floor(o_totalprice / 50000) AS p FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY p DESC NULLS LAST, o_orderkey) = 1",
-    "q20_nearest_matches": f"""WITH {VALID}, m AS (
+    "q20_nearest_matches": f"""WITH {VALID}, top AS (SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY image_id, pos % 2 ORDER BY confidence DESC, pos) <= 20), m AS (
   SELECT a.image_id, a.class_id, a.pos, max(CASE WHEN b.pos IS NOT NULL THEN {iou_of('b', 'a')} END) AS best,
          min(CASE WHEN b.pos IS NOT NULL THEN greatest(abs(b.x1 - a.x1), abs(b.y1 - a.y1), abs(b.x2 - a.x2), abs(b.y2 - a.y2)) END) AS delta
-  FROM valid a LEFT JOIN valid b ON a.image_id = b.image_id AND a.class_id = b.class_id AND b.pos % 2 = 0 WHERE a.pos % 2 = 1 GROUP BY ALL)
+  FROM top a LEFT JOIN top b ON a.image_id = b.image_id AND a.class_id = b.class_id AND b.pos % 2 = 0 WHERE a.pos % 2 = 1 GROUP BY ALL)
 SELECT class_id, count(*) AS n, count(best) AS matched, round(median(best), 6) AS median_iou, round(median(delta), 6) AS median_delta, round(max(best), 6) AS greatest_iou FROM m GROUP BY class_id""",
     "q21_mapping_closure": "SELECT DISTINCT p_type AS field, 'unmapped_category' AS rule FROM part WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 1 AND p_brand = 'Brand#1')",
     "q22_stable_order": f"WITH {_split_sql('SELECT c_name AS group_id FROM customer', 'SELECT c_name AS group_id, c_mktsegment AS class_id FROM customer', 'customers', 7, 0.7)} SELECT group_id, split FROM splits",

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import geometry, strings
 from ..functions.geometry import Box
 from ..operators import decode, lineage
-from ..session import checkpointed
-from ..sources import documents, sinks
-from . import contracts, ingest, preflight, records, validation
+from ..session import checkpointed, shared_path
+from ..sources import documents, file_sink, sinks
+from . import contracts, ingest, preflight, publishing, records, validation
 from . import made_documents as made
 from . import packages as p
 from .catalogue import HEIGHT, WIDTH, objects, order_items, table
@@ -151,8 +151,10 @@ def q45_dataset_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q46_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as one strict line of JSON."""
     rows = table(spark, sf_dir, "events")
-    doc = F.struct("event_id", "user_id", "event_type", F.struct(F.col("props").alias("raw")).alias("source"))
-    return rows.select("event_id", sinks.json_line(doc).alias("line"))
+    # labels that look like numbers which JSON lacks are texts like others
+    label = F.element_at(F.array(*map(F.lit, ("NaN", "a,NaN,b", "x:Infinity]", '"-Infinity"', "plain"))), (F.col("event_id") % 5 + 1).cast("int"))
+    doc = F.struct("event_id", "user_id", "event_type", label.alias("label"), F.struct(F.col("props").alias("raw"), F.array(F.col("user_id") / 4).alias("score")).alias("source"))
+    return sinks.json_lines(rows.select("event_id", doc.alias("doc"))).select("event_id", "line")
 
 
 def q47_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,4 +208,28 @@ def q52_preflight_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
+def q53_dataset_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data sets built from parts and published as files, a brand each, and read again: an image's hash, an annotation's id
+    and status, a manifest's number of items; and why other brands were left out."""
+    path = shared_path(spark, "datasets")
+    _, found = publishing.publish_datasets(*made.dataset_parts(table(spark, sf_dir, "part")), path)
+    files = file_sink.read_files(spark, path).withColumn("text", F.decode("content", "UTF-8"))
+    member = lambda name: F.get_json_object("text", f"$.{name}")
+    counted = F.size(F.from_json("text", "items array<string>")["items"]).cast("string")
+    detail = F.when(F.col("path").endswith(".png"), F.col("sha256")).when(F.col("path").endswith("/dataset.json"), counted).otherwise(F.concat_ws(" ", member("id"), member("status")))
+    return files.select("path", detail.alias("detail")).unionByName(found.select(F.concat("document", "field").alias("path"), F.col("rule").alias("detail")))
+
+
+def q54_training_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training folders of the published data sets, read again: hashes of images, labels, configuration and mapping, the
+    data set that a mapping names; and why other data sets were left out."""
+    source, path = shared_path(spark, "datasets"), shared_path(spark, "training")
+    publishing.publish_datasets(*made.dataset_parts(table(spark, sf_dir, "part")), source)
+    _, found = publishing.publish_training_folders(file_sink.read_files(spark, source), path)
+    files = file_sink.read_files(spark, path)
+    named = F.get_json_object(F.decode("content", "UTF-8"), "$.dataset_id")
+    detail = F.when(F.col("path").endswith("/mapping.json"), named).otherwise(F.col("sha256"))
+    return files.select("path", detail.alias("detail")).unionByName(found.select(F.concat("document", "field").alias("path"), F.col("rule").alias("detail")))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q") and name[1].isdigit()}

@@ -55,6 +55,13 @@ SOURCE = """decoded AS (SELECT o_orderkey AS id, o_orderkey % 50 AS f, o_custkey
 firsts AS (SELECT same, min(id) AS first FROM decoded WHERE f > 2 GROUP BY same),
 outcomes AS (SELECT id, CASE f WHEN 0 THEN 'missing_source' WHEN 1 THEN 'decode_failed' WHEN 2 THEN 'exif_orientation' ELSE CASE WHEN id <> first THEN 'duplicate_image' END END AS reason FROM decoded LEFT JOIN firsts USING (same))"""
 
+#: The parts of the data sets that are built, and of those without a fault.
+BUILT = r"""built AS (
+  SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos, 'image-' || lpad(CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS VARCHAR), 6, '0') AS stem,
+    CASE WHEN p_size % 10 = 0 THEN 'validation' ELSE 'train' END AS split,
+    CASE WHEN CAST(regexp_extract(p_brand, '(\d+)$', 1) AS INTEGER) % 5 = 1 AND p_partkey % 7 = 0 THEN (p_partkey // 7) % 3 ELSE -1 END AS fault FROM part),
+good AS (SELECT * FROM built WHERE p_brand NOT IN (SELECT p_brand FROM built WHERE fault >= 0))"""
+
 ORACLE_SQL = {
     "q24_greedy_matches": f"""WITH RECURSIVE {VALID},
 refs AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY confidence DESC, pos) AS k FROM valid WHERE pos % 2 = 0 QUALIFY k <= 20),
@@ -104,7 +111,8 @@ k AS (SELECT *, CASE WHEN class_id = 'R' THEN 'ignored_category' WHEN NOT (c - a
 SELECT image_id, annotation_id, CASE WHEN dropped IS NULL THEN printf('object-%04d', row_number() OVER (PARTITION BY image_id, dropped IS NULL ORDER BY annotation_id) - 1) END AS object_id, CASE class_id WHEN 'A' THEN 'a' WHEN 'N' THEN 'b' END AS class_id, dropped FROM k""",
     "q45_dataset_totals": f"""WITH {OBJECTS}, {ORDER_ITEMS}, c AS (SELECT image_id, count(*) AS n, count(*) FILTER (least(x2 - x1, y2 - y1) < 32) AS small FROM objects GROUP BY image_id)
 SELECT count(*) AS images, count(*) - count(n) AS images_without_objects, CAST(coalesce(sum(n), 0) AS BIGINT) AS objects, CAST(coalesce(sum(small), 0) AS BIGINT) AS small_objects, count(DISTINCT group_id) AS groups FROM order_items LEFT JOIN c USING (image_id)""",
-    "q46_json_lines": "SELECT event_id, CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'source': {'raw': props}}) AS VARCHAR) AS line FROM events",
+    "q46_json_lines": """SELECT event_id, CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type,
+  'label': ['NaN', 'a,NaN,b', 'x:Infinity]', '"-Infinity"', 'plain'][event_id % 5 + 1], 'source': {'raw': props, 'score': [user_id / CAST(4 AS DOUBLE)]}}) AS VARCHAR) AS line FROM events""",
     "q47_label_files": f"""WITH {OBJECTS}, {ORDER_ITEMS}, l AS (SELECT image_id, pos, CASE class_id WHEN 'R' THEN '0' WHEN 'A' THEN '1' ELSE '2' END || printf(' %.17g %.17g %.17g %.17g', (x1 + x2) / CAST(200 AS DOUBLE), (y1 + y2) / CAST(160 AS DOUBLE), (x2 - x1) / CAST(100 AS DOUBLE), (y2 - y1) / CAST(80 AS DOUBLE)) || chr(10) AS line FROM objects),
 t AS (SELECT image_id, string_agg(line, '' ORDER BY pos) AS text FROM l GROUP BY image_id) SELECT image_id AS item_id, split, coalesce(text, '') AS text FROM order_items LEFT JOIN t USING (image_id)""",
     "q48_multi_image_groups": "SELECT count(*) AS total, count(*) FILTER (n > 1) AS multi_image FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey)",
@@ -114,4 +122,22 @@ SELECT run, size AS "P", share + 1 AS "mAP50", share AS "mAP", epoch AS best_epo
     "q52_preflight_cases": " UNION ALL ".join(f"SELECT '{name}' AS \"case\", severity, rule, class_id FROM ({preflight_sql(*tables)})" for name, tables in CASES.items()),
     "q51_machine_paths": r"""WITH v AS (SELECT p_partkey, ['/', '~', 'C:\', 'd:/', '', 'x/', 'c:'][p_partkey % 7 + 1] || p_name AS value FROM part)
 SELECT p_partkey, regexp_matches(value, '^([/~]|[A-Za-z]:[\\/])') AS machine, replace(replace(value, '~', '~0'), '/', '~1') AS pointer, regexp_replace(regexp_extract(value || '.tar.gz', '([^/]*)$', 1), '\.[^.]*$', '') AS stem FROM v""",
+    "q53_dataset_build": f"""WITH {BUILT}
+SELECT p_brand || '/images/' || stem || '.png' AS path, sha256('image ' || p_partkey) AS detail FROM good
+UNION ALL SELECT p_brand || '/annotations/' || stem || '-approved.json', 'ann-' || p_partkey || ' approved' FROM good
+UNION ALL SELECT p_brand || '/annotations/' || stem || '-candidate.json', 'ann-' || p_partkey || '-before candidate' FROM good
+UNION ALL SELECT p_brand || '/dataset.json', CAST(count(*) AS VARCHAR) FROM good GROUP BY p_brand
+UNION ALL SELECT p_brand || '/dataset.json/items/' || pos || ['/image/sha256', '/annotation', '/split'][fault + 1], ['hash_mismatch', 'annotation_not_approved', 'unknown_split'][fault + 1] FROM built WHERE fault >= 0""",
+    "q54_training_folders": f"""WITH {BUILT},
+both_splits AS (SELECT p_brand FROM good GROUP BY p_brand HAVING count(DISTINCT split) = 2),
+own AS (SELECT *, CASE split WHEN 'train' THEN 'train' ELSE 'val' END AS folder FROM good JOIN both_splits USING (p_brand)),
+labelled AS (SELECT *, '0 ' || printf('%.17g %.17g %.17g %.17g', (p_size + 2) / CAST(200 AS DOUBLE), CAST(42.5 AS DOUBLE) / 160, p_size / CAST(100 AS DOUBLE), CAST(40.5 AS DOUBLE) / 80) || chr(10)
+  || '1 ' || printf('%.17g %.17g %.17g %.17g', 10 / CAST(200 AS DOUBLE), 10 / CAST(160 AS DOUBLE), 10 / CAST(100 AS DOUBLE), 10 / CAST(80 AS DOUBLE)) || chr(10) AS text FROM own),
+lines AS (SELECT p_brand, pos, '{{"item_id":"item-' || p_partkey || '","image":"images/' || folder || '/' || stem || '.png","annotation_id":"ann-' || p_partkey || '"}}' AS line FROM own)
+SELECT p_brand || '/images/' || folder || '/' || stem || '.png' AS path, sha256('image ' || p_partkey) AS detail FROM own
+UNION ALL SELECT p_brand || '/labels/' || folder || '/' || stem || '.txt', sha256(text) FROM labelled
+UNION ALL SELECT p_brand || '/mapping/' || lpad(CAST(pos // 10000 AS VARCHAR), 5, '0') || '.jsonl', sha256(string_agg(line, chr(10) ORDER BY pos) || chr(10)) FROM lines GROUP BY p_brand, pos // 10000
+UNION ALL SELECT p_brand || '/data.yaml', sha256('{{"train":"images/train","val":"images/val","names":["one","two"]}}' || chr(10)) FROM both_splits
+UNION ALL SELECT p_brand || '/mapping.json', 'ds-' || p_brand FROM both_splits
+UNION ALL SELECT DISTINCT p_brand || '/dataset.json/items', 'missing_split' FROM good WHERE p_brand NOT IN (FROM both_splits)""",
 }

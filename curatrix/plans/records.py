@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import is_finite
@@ -17,19 +17,35 @@ BEST_BY = "metrics/mAP50-95(B)"
 LABELING_FIELDS = ("id", "kind", "created_at", "tool", "checkpoint", "prompt", "backend", "decode_mode", "command", "inputs", "outputs")
 
 
+#: A line of a results table, whose quoted cells may hold line ends, and a cell in it: quoted, or up to a comma.
+LINE, CELL = r'(?:"(?:[^"]|"")*"|[^"\r\n])+', r'(?:^|,)(?:"((?:[^"]|"")*)"|([^,"]*))'
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a line, without the white space around them and the quotes of quoted ones."""
+    whole = F.regexp_extract_all(line, F.lit(CELL), F.lit(0))
+    bare = F.transform(whole, lambda c: F.btrim(F.regexp_replace(c, "^,", "")))
+    return F.transform(bare, lambda c: F.when(c.startswith('"'), F.btrim(F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))).otherwise(c))
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """(run, pos, values map<string,double>) of results tables: one row per epoch, cells that are not numbers
-    left out. Raises for an infinite or NaN cell. ``run`` is the file."""
-    lines = spark.read.option("header", "true").option("inferSchema", "false").option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true").csv(path)
-    names = lines.columns
-    quoted = [F.col(f"`{c}`") for c in names]
-    numbers = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(c.try_cast("double") for c in quoted)))
-    kept = F.map_filter(numbers, lambda _, x: x.isNotNull())
-    bad = F.exists(F.map_values(kept), lambda x: ~is_finite(x))
-    values = F.when(bad, F.raise_error(F.lit("results hold a non-finite value")).cast("map<string,double>")).otherwise(kept)
-    rows = lines.select(F.col("_metadata.file_path").alias("run"), F.monotonically_increasing_id().alias("at"), values.alias("values"))
-    pos = F.row_number().over(Window.partitionBy("run").orderBy("at")) - 1
-    return rows.select("run", pos.alias("pos"), "values")
+    left out. ``run`` is the file.
+
+    Each file is read by its own header, whatever the order of its columns; of a name that a header repeats the last cell
+    counts, and cells beyond the header are left out. An infinite or NaN cell raises, and so does a file
+    without an epoch; one without a byte is not seen by Spark's readers and gives no run. A file, a line an epoch,
+    is one row at first.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("run"), F.regexp_extract_all("value", F.lit(LINE), F.lit(0)).alias("lines"))
+    epochs = F.when(F.size("lines") > 1, F.slice("lines", 2, F.size("lines"))).otherwise(F.raise_error(F.lit("a results table has no epochs")).cast("array<string>"))
+    rows = whole.select("run", _cells(F.get("lines", F.lit(0))).alias("names"), F.posexplode(epochs).alias("pos", "line")).withColumn("cells", _cells(F.col("line")))
+    pairs = F.arrays_zip(F.slice("names", 1, F.least(F.size("names"), F.size("cells"))), F.col("cells"))
+    named = F.filter(F.transform(pairs, lambda p: F.struct(p["0"].alias("name"), p["cells"].try_cast("double").alias("value"))), lambda p: p["name"].isNotNull() & p["value"].isNotNull())
+    last = F.filter(named, lambda p, k: ~F.exists(F.slice(named, k + 2, F.size(named)), lambda q: q["name"] == p["name"]))
+    bad = F.exists(named, lambda p: ~is_finite(p["value"]))
+    values = F.when(bad, F.raise_error(F.lit("results hold a non-finite value")).cast("map<string,double>")).otherwise(F.map_from_entries(last))
+    return rows.select("run", "pos", values.alias("values"))
 
 
 def training_metrics(results: DataFrame) -> DataFrame:

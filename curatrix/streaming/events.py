@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import findings as f
 from ..plans.validation import TYPES, event_findings
-from ..sources.sinks import json_line
+from ..sources.sinks import write_json_lines
 
 def assemble(frames: DataFrame, detections: DataFrame, labels: DataFrame, package_id: str, manifest_sha256: str, event_id: Column, emitted_at: Column) -> DataFrame:
     """(frame, doc): one event per frame. ``frames`` has frame, source (struct), captured_at, width and height;
@@ -95,7 +95,7 @@ def start_checked_sink(events: DataFrame, out: str, findings_out: str, checkpoin
         batch = batch.persist()
         found = event_findings(batch, packages).persist()
         sound = batch.join(found.select("document").distinct(), "document", "left_anti")
-        sound.select(json_line(F.col("doc")).alias("value")).write.mode("overwrite").text(f"{out}/batch={number}")
+        write_json_lines(sound, f"{out}/batch={number}", mode="overwrite")
         found.write.mode("overwrite").parquet(f"{findings_out}/batch={number}")
         found.unpersist()
         batch.unpersist()

@@ -121,5 +121,15 @@ def test_tensors_and_inference_in_tasks(spark):
 def test_run_comparison(spark):
     a, b = frame(spark, [A, B]), frame(spark, [A, C])
     matches = nms.greedy_matches(a, b, "frame")
-    row = decode.compare_runs(a, b, matches, nms.nearest_matches(a, b, ["frame", "class_id"])).first()
+    row = decode.compare_runs(a, b, matches, nms.nearest_matches(a, b, ["frame", "class_id"], "frame")).first()
     assert (row.n_references, row.n_decoded, row.n_matched, row.least_iou) == (2, 2, 1, 1.0)
+
+
+def test_only_the_best_of_a_frame_are_near(spark):
+    """Of 25 a side the 20 with the highest scores count: the five exact partners of the best row rank below."""
+    kind = "frame int, " + ", ".join(f"{c} {t}" for c, t in zip(nms.DETECTION, ("long", "string", *["double"] * 5), strict=True))
+    own = [(1, k, "a", 1 - k / 100, 10.0 * k, 0.0, 10.0 * k + 5, 5.0) for k in range(25)]
+    refs = [(1, k, "a", 1 - k / 100, 10.0 * (24 - k), 0.0, 10.0 * (24 - k) + 5, 5.0) for k in range(25)]
+    found = {r.pos: (r.best_iou, r.least_delta) for r in nms.nearest_matches(spark.createDataFrame(refs, kind), spark.createDataFrame(own, kind), ["frame", "class_id"], "frame").collect()}
+    assert sorted(found) == list(range(20))
+    assert found[0] == (0.0, 50.0) and found[4] == (0.0, 10.0) and found[5] == (1.0, 0.0)

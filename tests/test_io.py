@@ -111,6 +111,34 @@ def test_results_tables(spark, tmp_path):
         records.read_results(spark, str(tmp_path / "bad.csv")).collect()
 
 
+def test_results_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("epoch,metrics/precision(B),metrics/recall(B),metrics/mAP50(B),metrics/mAP50-95(B)\n1,0.1,0.2,0.3,0.4\n")
+    (tmp_path / "b.csv").write_text('metrics/mAP50-95(B), metrics/mAP50(B) ,metrics/recall(B),metrics/precision(B),epoch,"a ""q"", b"\r\n0.4,0.3,0.2,0.1,1,"7",extra\r\n\r\n0.3,,0.2\r\n')
+    rows = {(r.run.rsplit("/", 1)[1], r.pos): r["values"] for r in records.read_results(spark, str(tmp_path)).collect()}
+    one = {"epoch": 1.0, "metrics/precision(B)": 0.1, "metrics/recall(B)": 0.2, "metrics/mAP50(B)": 0.3, "metrics/mAP50-95(B)": 0.4}
+    assert rows == {("a.csv", 0): one, ("b.csv", 0): one | {'a "q", b': 7.0}, ("b.csv", 1): {"metrics/mAP50-95(B)": 0.3, "metrics/recall(B)": 0.2}}
+    got = {r.run.rsplit("/", 1)[1]: r.metrics["P"] for r in records.training_metrics(records.read_results(spark, str(tmp_path))).collect()}
+    assert got == {"a.csv": 0.1, "b.csv": 0.1}
+
+
+@pytest.mark.parametrize("content", ["epoch,metrics/recall(B)\n", "\n\n"])
+def test_results_without_epochs_are_refused(spark, tmp_path, content):
+    (tmp_path / "r.csv").write_text(content)
+    with pytest.raises(Exception, match="no epochs"):
+        records.read_results(spark, str(tmp_path / "r.csv")).collect()
+
+
+def test_json_lines_judge_numbers_and_not_texts(spark):
+    texts = ["NaN", "a,NaN,b", "x:Infinity]", '"-Infinity"', "]NaN}"]
+    rows = spark.createDataFrame([(k, (t, 1.5, [2.0], {t: 0.5})) for k, t in enumerate(texts)], "k int, doc struct<label:string,score:double,more:array<double>,by:map<string,float>>")
+    lines = [json.loads(r.line) for r in sinks.json_lines(rows).orderBy("k").collect()]
+    assert lines == [{"label": t, "score": 1.5, "more": [2.0], "by": {t: 0.5}} for t in texts]
+    for score, more, by in ((float("nan"), [], {}), (1.0, [float("inf")], {}), (1.0, [], {"a": float("-inf")})):
+        bad = spark.createDataFrame([(("x", score, more, by),)], rows.select("doc").schema)
+        with pytest.raises(Exception, match="non-finite"):
+            sinks.json_lines(bad).collect()
+
+
 def test_evaluation_inputs(spark):
     kind = "document string, split string, sample_count long, metric_definitions map<string,string>, metrics map<string,double>, thresholds map<string,double>"
     rows = [("ok", "test", 5, {"a": "x"}, {"a": 1.0}, {"t": 0.5}), ("bad", "train", 0, {"a": "x"}, {"b": 1.0}, {})]
@@ -165,7 +193,7 @@ def test_assembled_events_keep_their_contract(spark):
     detections = spark.createDataFrame([("f0", 1, "c1", 0.5, 0.0, 0.0, 5.0, 5.0), ("f0", 0, "c1", 0.9, 1.0, 1.0, 5.0, 5.0)], "frame string, rank int, class_id string, confidence double, x1 double, y1 double, x2 double, y2 double")
     labels = spark.createDataFrame([("c1", "one")], "class_id string, label string")
     made = events.assemble(frames, detections, labels, "pkg", "a" * 64, F.concat(F.lit("ev-"), F.col("frame")), F.lit("2024-05-01T10:00:02Z"))
-    lines = {r.frame: r.line for r in made.select("frame", sinks.json_line(F.col("doc")).alias("line")).collect()}
+    lines = {r.frame: r.line for r in sinks.json_lines(made).select("frame", "line").collect()}
     assert [d["confidence"] for d in json.loads(lines["f0"])["detections"]] == [0.9, 0.5] and json.loads(lines["f1"])["detections"] == []
     parsed = validation.parse(frame(spark, [(k, v.encode()) for k, v in lines.items()]))
     assert parsed.schema.isEmpty() and validation.event_findings(parsed.typed("event")).isEmpty()
