@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, strings
 from ..functions.geometry import Box
 from ..functions.hashes import average_hash
-from ..operators import dedup, findings, lineage, nms, revisions, split
+from ..operators import dedup, findings, grid, lineage, nms, revisions, split
 from . import preflight
 
 WIDTH, HEIGHT = 100.0, 80.0
@@ -122,9 +122,8 @@ def q10_normalised_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q11_pairwise_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_objects(spark, sf_dir).drop("confidence")
-    other = rows.select("image_id", "class_id", F.col("pos").alias("other_pos"), *(F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")))
-    pairs = rows.join(other, ["image_id", "class_id"]).where("pos < other_pos").withColumn("iou", F.round(geometry.iou(Box.named(), Box.named("o_")), 9))
-    return pairs.where("iou > 0").select("image_id", "class_id", "pos", "other_pos", "iou")
+    pairs = grid.overlapping(rows, rows, ["image_id", "class_id"]).where("a.pos < b.pos").withColumn("iou", F.round("iou", 9))
+    return pairs.where("iou > 0").select("image_id", "class_id", "a.pos", F.col("b.pos").alias("other_pos"), "iou")
 
 
 def q12_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:

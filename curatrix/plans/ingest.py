@@ -12,9 +12,15 @@ from ..functions.strings import numbered
 from ..operators import dedup, findings
 from ..operators.split import assign_splits
 from ..session import checkpointed
+from ..sources.large_json import RANGE_BYTES, array_parts
 from . import preflight
 
-SOURCE = "struct<images:array<struct<id:long,file_name:string,width:long,height:long,license:string,flickr_url:string,coco_url:string>>,annotations:array<struct<id:long,image_id:long,category_id:long,bbox:array<double>>>,categories:array<struct<id:long,name:string>>>"
+#: The arrays of a source, and what is read of their elements.
+SOURCE = {
+    "images": "id long, file_name string, width long, height long, license string, flickr_url string, coco_url string",
+    "annotations": "id long, image_id long, category_id long, bbox array<double>",
+    "categories": "id long, name string",
+}
 
 
 @dataclass
@@ -24,13 +30,25 @@ class Source:
     categories: DataFrame
 
 
-def read_source(spark: SparkSession, path: str) -> Source:
-    """The three arrays of the annotation documents under ``path``; a document without one of them raises."""
-    text = spark.read.text(path, wholetext=True)
-    doc = text.select(F.from_json("value", SOURCE).alias("d"))
-    whole = F.col("d.images").isNotNull() & F.col("d.annotations").isNotNull() & F.col("d.categories").isNotNull()
-    doc = doc.select(F.when(whole, F.col("d")).otherwise(F.raise_error(F.lit("images, annotations and categories arrays are needed")).cast(SOURCE)).alias("d"))
-    return Source(*(doc.select(F.inline(f"d.{part}")) for part in ("images", "annotations", "categories")))
+def read_source(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> Source:
+    """The three arrays of the annotation documents under ``path``, however large: many tasks read one document.
+
+    Raises for a document without one of the arrays, or with one twice, for one that is no whole JSON, and for
+    elements that are not of the form of their array.
+    """
+    parts = checkpointed(array_parts(spark, path, list(SOURCE), range_bytes))
+    begun = parts.where("text is null").groupBy("path").agg(*(F.count_if(F.col("name") == name).alias(name) for name in SOURCE))
+    files = spark.read.format("binaryFile").load(path).select("path")
+    wrong = files.join(begun, "path", "left").where(" or ".join(f"{name} is null or {name} <> 1" for name in SOURCE))
+    if not wrong.isEmpty():
+        raise ValueError(f"images, annotations and categories arrays are needed, once each: {[r.path for r in wrong.limit(5).collect()]}")
+    tables = []
+    for name, fields in SOURCE.items():
+        corrupt = "_corrupt string"
+        own = parts.where(F.col("name") == name).where("text is not null").select(F.from_json("text", f"{fields}, {corrupt}", {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"), "text")
+        good = F.when(F.col("e._corrupt").isNull() & F.startswith("text", F.lit("{")), F.col("e")).otherwise(F.raise_error(F.concat(F.lit(f"an element of {name} is not of the form of its array: "), F.substring("text", 1, 200))).cast(f"struct<{', '.join(': '.join(x.rsplit(' ', 1)) for x in fields.split(', '))}, _corrupt: string>"))
+        tables.append(own.select(good.alias("e")).select(*(F.col(f"e.{x.split(' ')[0]}") for x in fields.split(", "))))
+    return Source(*tables)
 
 
 def mapping_tables(spark: SparkSession, categories: dict[str, str], ignore: list[str], classes: list[str]) -> tuple[DataFrame, DataFrame]:
