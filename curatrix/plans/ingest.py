@@ -44,10 +44,15 @@ def read_source(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
         raise ValueError(f"images, annotations and categories arrays are needed, once each: {[r.path for r in wrong.limit(5).collect()]}")
     tables = []
     for name, fields in SOURCE.items():
-        corrupt = "_corrupt string"
-        own = parts.where(F.col("name") == name).where("text is not null").select(F.from_json("text", f"{fields}, {corrupt}", {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"), "text")
-        good = F.when(F.col("e._corrupt").isNull() & F.startswith("text", F.lit("{")), F.col("e")).otherwise(F.raise_error(F.concat(F.lit(f"an element of {name} is not of the form of its array: "), F.substring("text", 1, 200))).cast(f"struct<{', '.join(': '.join(x.rsplit(' ', 1)) for x in fields.split(', '))}, _corrupt: string>"))
-        tables.append(own.select(good.alias("e")).select(*(F.col(f"e.{x.split(' ')[0]}") for x in fields.split(", "))))
+        columns = [x.split(" ")[0] for x in fields.split(", ")]
+        kind = f"struct<{', '.join(x.replace(' ', ': ', 1) for x in fields.split(', '))}, _corrupt: string>"
+        element = F.from_json("text", f"{fields}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+        whole = element["_corrupt"].isNull() & F.startswith("text", F.lit("{"))
+        wrong = F.raise_error(F.concat(F.lit(f"an element of {name} is not of the form of its array: "), F.substring("text", 1, 200))).cast(kind)
+        # other rows are named too: a filter may be moved behind this
+        own = (F.col("name") == name) & F.col("text").isNotNull()
+        judged = F.when(~own, F.lit(None).cast(kind)).when(whole, element).otherwise(wrong)
+        tables.append(parts.where(own).select(judged.alias("e")).select(*(F.col(f"e.{c}") for c in columns)))
     return Source(*tables)
 
 

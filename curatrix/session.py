@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only where the session names no ``spark.checkpoint.dir`` (tests, a laptop).
 FALLBACK_DIR = "/tmp/checkpoints"
+#: Rows of a few columns that a task of a small step has at least, where there are as many.
+TASK_ROWS = 50_000
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -40,6 +43,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``checkpointed``, and how many rows that wrote: no job of its own counts them."""
+    rows = Observation()
+    held = checkpointed(df.observe(rows, F.count(F.lit(1)).alias("n")))
+    return held, rows.get["n"]
+
+
+def fitted(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` in no more partitions than so many rows need. Steps that repeat on small tables otherwise write a file a task
+    and shuffle, and these outgrow the rows."""
+    return df.coalesce(max(1, -(-rows // task_rows)))
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``checkpointed``, in partitions that fit its rows."""
+    return fitted(*counted(df))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read again, for column-pruned reuse."""
     path = shared_path(df.sparkSession, name)
