@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .shared import checkpointed, slices
+from .shared import checkpointed, compact, counted, fitted, slices
 from .sharding import mixed_keys
 from .simhash import LOWER_BYTES, SEED, drop_joined, numbered
 
@@ -61,6 +61,8 @@ CROWD = 4
 SHARES = 32
 #: The part that all of them have in the search of the others: no text's own hash but by a chance of 1 in 2**64.
 CROWD_PART = 0
+#: Rows of whole shingle sets that a task verifies, and pairs that a task of the index gives on at once.
+SET_ROWS, PAIR_ROWS = 2_000, 1 << 17
 #: Shingles whose bits are counted at once.
 BLOCK = 255 * 16
 
@@ -262,10 +264,21 @@ def candidates(prints: DataFrame, layout: Layout, whole: bool, similarity: float
                 found[at] = may_link(n, shared, a[at], np.broadcast_to(b, len(a))[at], similarity)
             return found
 
-        found = list(near_pairs(values, parts, masks, near) if whole else middle_pairs(values, sketches))
-        a, b = (nodes[np.concatenate([f[k] for f in found])] if found else nodes[:0] for k in (0, 1))
-        once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        yield pa.record_batch([pa.array(once[:, 0]), pa.array(once[:, 1])], ["a", "b"])
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            a, b = (nodes[np.concatenate([f[k] for f in found])] if found else nodes[:0] for k in (0, 1))
+            once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            return pa.record_batch([pa.array(once[:, 0]), pa.array(once[:, 1])], ["a", "b"])
+
+        room = PAIR_ROWS
+        for pair in near_pairs(values, parts, masks, near) if whole else middle_pairs(values, sketches):
+            found.append(pair)
+            room -= len(pair[0])
+            if room <= 0:
+                yield packed()
+                found, room = [], PAIR_ROWS
+        yield packed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -291,40 +304,45 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity or more."""
+def _alike(pairs: DataFrame, rows: int, sets: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """The pairs (a, b), ``rows`` of them, whose sets have the similarity or more, and how many they are."""
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
-    return checkpointed(both.where(F.col("common") / (F.col("total") - F.col("common")) >= similarity).select("a", "b"))
+    one = fitted(pairs.join(left, "a"), rows, SET_ROWS)
+    both = fitted(one.join(right, "b"), rows, SET_ROWS).select("a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+    good, n = counted(both.where(F.col("common") / (F.col("total") - F.col("common")) >= similarity).select("a", "b"))
+    return fitted(good, n), n
 
 
-def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
+def _apart(pairs: DataFrame, rows: int, parts: DataFrame) -> DataFrame:
+    """The pairs, ``rows`` of them at most, whose ends lie in different components."""
     for end in ("a", "b"):
         own = parts.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        pairs = pairs.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+        pairs = fitted(pairs.join(own, end, "left"), rows).withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
     return pairs.where("of_a <> of_b").drop("of_a", "of_b")
 
 
-def connect(rest: DataFrame, sets: DataFrame, similarity: float, parts: DataFrame | None = None) -> DataFrame:
-    """(node, component) of the texts that the candidates (a, b, bits) join, those of ``parts`` included.
+def connect(rest: DataFrame, n: int, sets: DataFrame, similarity: float, parts: DataFrame | None = None) -> DataFrame:
+    """(node, component) of the texts that the ``n`` candidates (a, b, bits) join, those of ``parts`` included.
 
     Each round verifies every text's candidates that differ least, then leaves out what the links found so far
     join. The share verified grows each round, so a family of texts below the similarity ends too, with all its
     candidates compared.
     """
     nearest = NEAREST
-    while not rest.isEmpty():
+    while n:
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b"), "bits"))
         ranked = both.withColumn("k", F.row_number().over(Window.partitionBy("a").orderBy("bits", "b"))).where(F.col("k") <= nearest)
-        chosen = checkpointed(ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        good = _alike(chosen, sets, similarity)
-        rest = rest.join(chosen, ["a", "b"], "left_anti")
-        if not good.isEmpty():
+        near = fitted(ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), 2 * n).distinct()
+        chosen, n_chosen = counted(fitted(near, n))
+        chosen = fitted(chosen, n_chosen)
+        good, n_good = _alike(chosen, n_chosen, sets, similarity)
+        rest = fitted(rest.join(chosen, ["a", "b"], "left_anti"), n)
+        if n_good:
             known = good if parts is None else good.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
             parts = connected_components(known)
-            rest = _apart(rest, parts)
-        rest = checkpointed(rest)
+            rest = _apart(rest, n, parts)
+        rest, n = counted(rest)
+        rest = fitted(rest, n)
         nearest *= MORE
     return sets.sparkSession.createDataFrame([], "node long, component long") if parts is None else parts
 
@@ -334,21 +352,21 @@ def similar_parts(keyed: DataFrame, texts: DataFrame, layout: Layout, shingle_wo
     prints = checkpointed(keyed.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp")))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct()).distinct()
-        rows = prints.select("node", "row").join(wanted, "node", "left_semi")
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        rows = compact(prints.select("node", "row").join(wanted, "node", "left_semi"))
         return checkpointed(_sets(texts.join(rows, "row").select("node", "text"), shingle_words))
 
-    met = checkpointed(candidates(prints.withColumn("part", F.col("node")), layout, whole=False))
+    met = compact(candidates(prints.withColumn("part", F.col("node")), layout, whole=False))
     sets = sets_of(met)
-    parts = connect(_plausible(met, prints, layout), sets, similarity)
+    parts = compact(connect(*_plausible(met, prints, layout), sets, similarity))
     crowd = _shared(sets.join(_crowd(met, parts), "node", "left_semi"))
     placed = prints.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).join(crowd, "node", "left")
     # the crowd as one part is not compared with itself
     found = candidates(placed.withColumn("part", F.when(F.col("shared").isNull(), F.col("part")).otherwise(CROWD_PART)), layout, whole=True)
     if not crowd.isEmpty():
         found = found.unionByName(candidates(placed.where("shared is not null"), layout, True, similarity))
-    rest = _plausible(found.join(met, ["a", "b"], "left_anti"), prints, layout)
-    return connect(rest, sets_of(rest), similarity, parts)
+    rest, n = _plausible(compact(found.join(met, ["a", "b"], "left_anti")), prints, layout)
+    return connect(rest, n, sets_of(rest), similarity, parts)
 
 
 def _crowd(met: DataFrame, parts: DataFrame) -> DataFrame:
@@ -357,7 +375,7 @@ def _crowd(met: DataFrame, parts: DataFrame) -> DataFrame:
     many = both.groupBy("a").agg(F.count("*").alias("partners")).where(F.col("partners") > CROWD).select(F.col("a").alias("node"))
     seen = many.unionByName(both.join(many, F.col("b") == F.col("node"), "left_semi").select(F.col("a").alias("node"))).distinct()
     roots = parts.join(seen, "node", "left_semi").select("component").distinct()
-    return checkpointed(seen.unionByName(parts.join(roots, "component", "left_semi").select("node")).distinct())
+    return compact(seen.unionByName(parts.join(roots, "component", "left_semi").select("node")).distinct())
 
 
 def _shared(sets: DataFrame) -> DataFrame:
@@ -372,12 +390,13 @@ def _shared(sets: DataFrame) -> DataFrame:
     return checkpointed(both.select("node", shared.alias("shared")))
 
 
-def _plausible(pairs: DataFrame, prints: DataFrame, layout: Layout) -> DataFrame:
-    """(a, b, bits) of the candidates whose whole fingerprints differ in few enough bits."""
+def _plausible(pairs: DataFrame, prints: DataFrame, layout: Layout) -> tuple[DataFrame, int]:
+    """(a, b, bits) of the candidates whose whole fingerprints differ in few enough bits, and how many they are."""
     ends = [prints.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("fp").alias(f"fp_{c}")) for c in ("a", "b")]
     limit = F.when(F.least("n_a", "n_b") < SMALL, layout.limits[1]).otherwise(layout.limits[0])
     both = pairs.join(ends[0], "a").join(ends[1], "b").withColumn("bits", _differing(F.col("fp_a"), F.col("fp_b")))
-    return checkpointed(both.where(F.col("bits") <= limit).select("a", "b", "bits"))
+    good, n = counted(both.where(F.col("bits") <= limit).select("a", "b", "bits"))
+    return fitted(good, n), n
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ..session import checkpointed, shared_path, shared_root, stored
+from ..session import checkpointed, compact, counted, fitted, shared_path, shared_root, stored
 
-__all__ = ["checkpointed", "fresh", "shared_path", "shared_root", "slices", "stored"]
+__all__ = ["checkpointed", "compact", "counted", "fitted", "fresh", "shared_path", "shared_root", "slices", "stored"]
 
 #: A Python worker handles at most about this many bytes of text at once.
 SLICE_BYTES = 4 << 20
