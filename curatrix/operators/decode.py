@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry
 from ..functions.geometry import Box, is_finite
 from .findings import finding
+from .quantiles import medians
 
 
 def decode_rows(outputs: DataFrame, labels: DataFrame, in_width: int, in_height: int) -> DataFrame:
@@ -74,7 +75,9 @@ def compare_runs(references: DataFrame, decoded: DataFrame, matches: DataFrame,
     """One row: rows of both runs, matched ones, overlaps and side differences, ranges of the scores."""
     a = references.agg(F.count("*").alias("n_references"), F.min("confidence").alias("least_reference_score"), F.max("confidence").alias("greatest_reference_score"))
     b = decoded.agg(F.count("*").alias("n_decoded"), F.min("confidence").alias("least_score"), F.max("confidence").alias("greatest_score"))
-    c = matches.agg(F.count("*").alias("n_matched"), F.min("iou").alias("least_iou"), F.median("iou").alias("median_iou"))
-    d = nearest.agg(F.max("least_delta").alias("greatest_delta"), F.median("least_delta").alias("median_delta"))
+    c = matches.agg(F.count("*").alias("n_matched"), F.min("iou").alias("least_iou"))
+    d = nearest.agg(F.max("least_delta").alias("greatest_delta"))
     one = [t.withColumn("one", F.lit(1)) for t in (a, b, c, d)]
-    return one[0].join(one[1], "one").join(one[2], "one").join(one[3], "one").drop("one")
+    middles = [medians(rows.withColumn("one", F.lit(1)), ["one"], [value]).select("one", F.col(value).alias(name)) for rows, value, name in ((matches, "iou", "median_iou"), (nearest, "least_delta", "median_delta"))]
+    out = one[0].join(one[1], "one").join(one[2], "one").join(one[3], "one")
+    return out.join(middles[0], "one", "left").join(middles[1], "one", "left").drop("one")

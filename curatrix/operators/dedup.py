@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashes import hamming
@@ -13,9 +13,11 @@ NEAR_BITS = 4
 
 
 def first_of_each(rows: DataFrame, value: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows kept, rows dropped): of equal values the first in order stays."""
-    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(value).orderBy(*order)))
-    return ranked.where("_k = 1").drop("_k"), ranked.where("_k > 1").drop("_k")
+    """(rows kept, rows dropped): of equal values the first in order stays; null values are equal. ``order`` must tell the
+    rows of a value apart. A value's first is a minimum, however often it repeats."""
+    first = rows.groupBy(F.col(value).alias("_value")).agg(F.min(F.struct(*order)).alias("_first"))
+    marked = rows.join(first, F.col(value).eqNullSafe(F.col("_value"))).withColumn("_stays", F.struct(*order).eqNullSafe(F.col("_first")))
+    return marked.where("_stays").select(*rows.columns), marked.where("not _stays").select(*rows.columns)
 
 
 def hash_pairs(hashes: DataFrame, bits: int = NEAR_BITS) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +31,14 @@ def finding(rows: DataFrame, rule: str | Column, message: str | Column, field: s
     return rows.select(F.col("document").cast("string").alias("document"), where.alias("field"), as_column(rule).alias("rule"), as_column(message).alias("message"))
 
 
-def exit_status(findings: DataFrame) -> int:
-    """0 without findings, else 1."""
-    return 0 if findings.isEmpty() else 1
+def exit_status(check: DataFrame | Callable[[], DataFrame]) -> int:
+    """0 without findings, 1 with some, and 2 if the check cannot be made: a function that gives the findings, or the job
+    that finds them, raises for what it was given (settings, paths, files)."""
+    try:
+        found = check if isinstance(check, DataFrame) else check()
+        return 0 if found.isEmpty() else 1
+    except (ValueError, TypeError, OSError, PySparkException):
+        return 2
 
 
 def ordered(findings: DataFrame) -> DataFrame:

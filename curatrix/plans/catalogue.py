@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import geometry, strings
 from ..functions.geometry import Box
 from ..functions.hashes import average_hash
-from ..operators import dedup, findings, grid, lineage, nms, revisions, split
-from . import preflight
+from ..operators import dedup, findings, grid, lineage, nms, quantiles, revisions, split
+from ..session import checkpointed
+from . import preflight, validation
 
 WIDTH, HEIGHT = 100.0, 80.0
 
@@ -181,8 +182,10 @@ def q20_nearest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd objects against even ones of their image and class: best overlap and least side difference."""
     rows = valid_objects(spark, sf_dir)
     found = nms.nearest_matches(rows.where("pos % 2 = 0"), rows.where("pos % 2 = 1"), ["image_id", "class_id"], "image_id")
-    summary = found.groupBy("class_id").agg(F.count("*").alias("n"), F.count("best_iou").alias("matched"), F.round(F.median("best_iou"), 6).alias("median_iou"), F.round(F.median("least_delta"), 6).alias("median_delta"), F.round(F.max("best_iou"), 6).alias("greatest_iou"))
-    return summary
+    found = checkpointed(found)
+    middle = quantiles.medians(found, ["class_id"], ["best_iou", "least_delta"]).select("class_id", F.round("best_iou", 6).alias("median_iou"), F.round("least_delta", 6).alias("median_delta"))
+    summary = found.groupBy("class_id").agg(F.count("*").alias("n"), F.count("best_iou").alias("matched"), F.round(F.max("best_iou"), 6).alias("greatest_iou"))
+    return summary.join(middle, "class_id")
 
 
 def q21_mapping_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +205,11 @@ def q23_unapproved(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = items(spark, sf_dir).join(states, F.col("item_id") == F.col("doc_id"), "left")
     status = F.when(F.col("quality") == 1, "approved").when(F.col("quality") == 0, "rejected").otherwise("candidate")
-    return rows.withColumn("status", status).where("status <> 'approved'").select("item_id", "status")
+    stated = rows.withColumn("status", status)
+    # a manifest with these annotations: the check of annotations names those that are not approved
+    annotations = stated.select(F.col("item_id").cast("string").alias("document"), F.struct(F.col("item_id").cast("string").alias("id"), "status").alias("doc"))
+    found = validation.unapproved(annotations)
+    return found.join(stated.withColumn("document", F.col("item_id").cast("string")), "document").select("item_id", "status")
 
 
 def q24_greedy_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

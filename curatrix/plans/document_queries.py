@@ -10,7 +10,7 @@ from ..functions.geometry import Box
 from ..operators import decode, lineage
 from ..session import checkpointed, shared_path
 from ..sources import documents, file_sink, sinks
-from . import contracts, ingest, preflight, publishing, records, validation
+from . import contracts, ingest, preflight, publishing, records, run_records, validation
 from . import made_documents as made
 from . import packages as p
 from .catalogue import HEIGHT, WIDTH, objects, order_items, table
@@ -167,8 +167,7 @@ def q47_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q48_multi_image_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of items, and those of more than one."""
-    sizes = order_items(spark, sf_dir).groupBy("group_id").agg(F.count("*").alias("n"))
-    return sizes.agg(F.count("*").alias("total"), F.count_if(F.col("n") > 1).alias("multi_image"))
+    return ingest.group_sizes(order_items(spark, sf_dir))
 
 
 def q49_metric_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,4 +231,23 @@ def q54_training_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("path", detail.alias("detail")).unionByName(found.select(F.concat("document", "field").alias("path"), F.col("rule").alias("detail")))
 
 
+def q55_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of training runs, one per part: precision of the best epoch, its number and the model's hash; and the rules
+    that other runs break."""
+    good, found = run_records.training_records(*made.training_runs(table(spark, sf_dir, "part")))
+    doc = F.from_json(F.decode("content", "UTF-8"), "metrics map<string,double>, outputs array<struct<role:string,artifact:struct<path:string,sha256:string>>>")
+    kept = good.select(F.col("run").cast("string").alias("run"), doc.alias("d")).select("run", F.lit("").alias("field"), F.concat_ws(" ", F.col("d.metrics")["P"].cast("string"), F.col("d.metrics")["best_epoch"].cast("int").cast("string"), F.get("d.outputs", F.lit(0))["artifact"]["sha256"]).alias("detail"))
+    return kept.unionByName(found.select(F.col("document").alias("run"), "field", F.col("rule").alias("detail")))
+
+
+def q56_source_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotation documents written from orders, one a year, and read again in ranges of 64 KiB: every annotation with its
+    image and category."""
+    path = shared_path(spark, "sources")
+    file_sink.publish_files(made.source_documents(table(spark, sf_dir, "orders"), objects(spark, sf_dir)), path)
+    source = ingest.read_source(spark, f"{path}/*.json", range_bytes=1 << 16)
+    named = source.annotations.join(source.images.select(F.col("id").alias("image_id"), "file_name"), "image_id").join(source.categories.distinct().select(F.col("id").alias("category_id"), "name"), "category_id")
+    return named.select("id", "file_name", "name", *(F.get("bbox", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q") and name[1].isdigit()}

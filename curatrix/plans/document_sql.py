@@ -140,4 +140,10 @@ UNION ALL SELECT p_brand || '/mapping/' || lpad(CAST(pos // 10000 AS VARCHAR), 5
 UNION ALL SELECT p_brand || '/data.yaml', sha256('{{"train":"images/train","val":"images/val","names":["one","two"]}}' || chr(10)) FROM both_splits
 UNION ALL SELECT p_brand || '/mapping.json', 'ds-' || p_brand FROM both_splits
 UNION ALL SELECT DISTINCT p_brand || '/dataset.json/items', 'missing_split' FROM good WHERE p_brand NOT IN (FROM both_splits)""",
+    "q55_run_records": """WITH r AS (SELECT CAST(p_partkey AS VARCHAR) AS run, p_partkey % 16 AS fault, p_partkey % 3 = 2 AS later FROM part)
+SELECT run, '' AS field, CASE WHEN later THEN '0.5 2 ' ELSE '0.25 1 ' END || sha256('best ' || run) AS detail FROM r WHERE fault NOT BETWEEN 1 AND 6
+UNION ALL SELECT run, ['/weights/last.pt', '/config/dataset.json', '/results.csv', '/results.csv', '/results.csv', '/config/config_file'][fault],
+  ['artifact_missing', 'hash_mismatch', 'results_invalid', 'results_invalid', 'results_invalid', 'non_portable_config'][fault] FROM r WHERE fault BETWEEN 1 AND 6""",
+    "q56_source_reader": f"""WITH {OBJECTS} SELECT image_id * 100 + pos AS id, 'o "' || image_id || '" }}].jpg' AS file_name, CASE class_id WHEN 'A' THEN 'first' WHEN 'N' THEN 'second' ELSE 'th]ird' END AS name,
+  x1, y1, x2, y2 FROM objects JOIN orders ON image_id = o_orderkey""",
 }

@@ -156,14 +156,19 @@ def annotation_documents(ingested: Ingested, dataset_id: str, ontology_id: str,
     return rows.select("image_id", doc.alias("doc"))
 
 
+def group_sizes(items: DataFrame) -> DataFrame:
+    """One row: how many groups items have, and how many of them hold more than one image."""
+    sizes = items.groupBy("group_id").agg(F.count("*").alias("n"))
+    return sizes.agg(F.count("*").alias("total"), F.count_if(F.col("n") > 1).alias("multi_image"))
+
+
 def report(ingested: Ingested) -> dict[str, DataFrame]:
     """The tables of an ingest report: splits, totals, multi-image groups, skipped images, dropped objects."""
     boxes = ingested.objects.select("image_id", "class_id", *(F.get("bbox", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))))
-    sizes = ingested.items.groupBy("group_id").agg(F.count("*").alias("n"))
     return {
         "splits": preflight.distribution(ingested.items, boxes),
         "totals": preflight.totals(ingested.items, boxes),
-        "groups": sizes.agg(F.count("*").alias("total"), F.count_if(F.col("n") > 1).alias("multi_image")),
+        "groups": group_sizes(ingested.items),
         "skipped": ingested.skipped,
         "dropped": ingested.dropped,
     }

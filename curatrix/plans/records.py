@@ -28,23 +28,32 @@ def _cells(line: Column) -> Column:
     return F.transform(bare, lambda c: F.when(c.startswith('"'), F.btrim(F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))).otherwise(c))
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """(run, pos, values map<string,double>) of results tables: one row per epoch, cells that are not numbers
-    left out. ``run`` is the file.
+def results_rows(tables: DataFrame) -> DataFrame:
+    """(run, pos, values, problem) from (run, value), the texts of results tables: a row an epoch, and one with pos -1 for a
+    table without any. ``problem`` says why a row cannot be used.
 
-    Each file is read by its own header, whatever the order of its columns; of a name that a header repeats the last cell
-    counts, and cells beyond the header are left out. An infinite or NaN cell raises, and so does a file
-    without an epoch; one without a byte is not seen by Spark's readers and gives no run. A file, a line an epoch,
-    is one row at first.
+    Each table is read by its own header, whatever the order of its columns; of a name that a header repeats the last
+    cell counts, cells beyond the header and those that are no numbers are left out.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("run"), F.regexp_extract_all("value", F.lit(LINE), F.lit(0)).alias("lines"))
-    epochs = F.when(F.size("lines") > 1, F.slice("lines", 2, F.size("lines"))).otherwise(F.raise_error(F.lit("a results table has no epochs")).cast("array<string>"))
-    rows = whole.select("run", _cells(F.get("lines", F.lit(0))).alias("names"), F.posexplode(epochs).alias("pos", "line")).withColumn("cells", _cells(F.col("line")))
+    whole = tables.select("run", F.regexp_extract_all(F.coalesce("value", F.lit("")), F.lit(LINE), F.lit(0)).alias("lines"))
+    epochs = F.when(F.size("lines") > 1, F.slice("lines", 2, F.size("lines")))
+    rows = whole.select("run", _cells(F.get("lines", F.lit(0))).alias("names"), F.posexplode_outer(epochs).alias("pos", "line")).withColumn("cells", _cells(F.col("line")))
     pairs = F.arrays_zip(F.slice("names", 1, F.least(F.size("names"), F.size("cells"))), F.col("cells"))
     named = F.filter(F.transform(pairs, lambda p: F.struct(p["0"].alias("name"), p["cells"].try_cast("double").alias("value"))), lambda p: p["name"].isNotNull() & p["value"].isNotNull())
     last = F.filter(named, lambda p, k: ~F.exists(F.slice(named, k + 2, F.size(named)), lambda q: q["name"] == p["name"]))
     bad = F.exists(named, lambda p: ~is_finite(p["value"]))
-    values = F.when(bad, F.raise_error(F.lit("results hold a non-finite value")).cast("map<string,double>")).otherwise(F.map_from_entries(last))
+    problem = F.when(F.col("line").isNull(), "a results table has no epochs").when(bad, "results hold a non-finite value")
+    return rows.select("run", F.coalesce("pos", F.lit(-1)).alias("pos"), F.when(problem.isNull(), F.map_from_entries(last)).alias("values"), problem.alias("problem"))
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """(run, pos, values map<string,double>) of results tables: one row per epoch. ``run`` is the file.
+
+    An infinite or NaN cell raises, and so does a file without an epoch; one without a byte is not seen by Spark's
+    readers and gives no run. A file, a line an epoch, is one row at first.
+    """
+    rows = results_rows(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("run"), "value"))
+    values = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")).cast("map<string,double>")).otherwise(F.col("values"))
     return rows.select("run", "pos", values.alias("values"))
 
 

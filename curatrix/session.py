@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no ``spark.checkpoint.dir`` (tests, a laptop).
+#: Used only where a session on one machine names no ``spark.checkpoint.dir``.
 FALLBACK_DIR = "/tmp/checkpoints"
 #: Rows of a few columns that a task of a small step has at least, where there are as many.
 TASK_ROWS = 50_000
@@ -27,7 +27,12 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR).rstrip("/")
+    """The shared folder that the session names. Without one a session on one machine has its own; on a cluster it raises, as
+    executors do not see each other's folders."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (named or FALLBACK_DIR).rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
