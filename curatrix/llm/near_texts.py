@@ -7,7 +7,7 @@ under its variants with one bit deleted; texts that share a variant are candidat
 
 Variants are not all written out. A row of a segment goes to the group of its first bits, and for each of these
 bits to the group without it; the other bits are deleted where the group is: a row costs 1 + PREFIX shuffled
-rows a segment and not one for each bit. Two more words of the fingerprint, the sketch, ride along and
+rows a segment and not one for each bit. Three more words of the fingerprint, the sketch, ride along and
 turn away texts that share a variant by chance.
 
 The index is searched twice. At first the texts of an equal segment are compared with the middle one of them
@@ -44,10 +44,12 @@ MISS = 2e-4
 SEGMENT_BITS = 16
 #: Rows that a group holds on average at most, by which its first bits are counted.
 GROUP_BITS, LEAST_PREFIX = 16, 2
-#: Words of the sketch, and in how many of its bits candidates may differ: 0.8 gives 19 of 128, chance 64.
-SKETCH_WORDS, SKETCH_DISTANCE = 2, 35
+#: Words of the sketch, and in how many of its bits candidates may differ: 0.8 gives 29 of 192, chance 96, a third of the
+#: shingles in common 67.
+SKETCH_WORDS, SKETCH_DISTANCE = 3, 48
+SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
 #: In the first search texts with nearer sketches are linked, with the middle one of a run of more than SMALL_RUN.
-FIRST_DISTANCE, SMALL_RUN = 30, 4
+FIRST_DISTANCE, SMALL_RUN = 43, 4
 #: Rows of a run that are compared step by step; those of a larger one go component by component.
 RUN_ROWS = 64
 #: Partners of a text that are verified in the first round; then so many times more each round.
@@ -210,7 +212,7 @@ def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def _index(prints: DataFrame, layout: Layout, whole: bool, counted: bool) -> DataFrame:
-    """(key, node, part, s0, s1), with n and shared if ``counted``: the rows of the index, sorted in partitions of whole groups. A key numbers the segment,
+    """(key, the sketch, node, part), with n and shared if ``counted``: the rows of the index, sorted in partitions of whole groups. A key numbers the segment,
     the deleted prefix bit and the prefix, which make the group, and the segment's other bits. Without ``whole``
     only the rows without a deleted prefix bit."""
     low, prefix = layout.bits - layout.prefix, layout.prefix
@@ -232,9 +234,9 @@ def _index(prints: DataFrame, layout: Layout, whole: bool, counted: bool) -> Dat
                 for deleted in range(0 if whole else prefix, prefix + 1):
                     kept = head & ~np.uint64(1 << deleted) if deleted < prefix else head
                     key = (((first + np.uint64(deleted)) << np.uint64(prefix)) | kept) << np.uint64(low) | rest
-                    yield pa.record_batch([pa.array(key.ravel().view(np.int64)), pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), *carried, *own], ["key", "s0", "s1", *names, *binary])
+                    yield pa.record_batch([pa.array(key.ravel().view(np.int64)), *(pa.array(sketch[:, k]) for k in range(SKETCH_WORDS)), *carried, *own], ["key", *SKETCH, *names, *binary])
 
-    rows = prints.select(*names, *binary, "fp").mapInArrow(run, ", ".join([f"{c} long" for c in ("key", "s0", "s1", *names)] + [f"{c} binary" for c in binary]))
+    rows = prints.select(*names, *binary, "fp").mapInArrow(run, ", ".join([f"{c} long" for c in ("key", *SKETCH, *names)] + [f"{c} binary" for c in binary]))
     return rows.repartition(F.shiftright("key", low)).sortWithinPartitions("key")
 
 
@@ -249,7 +251,7 @@ def candidates(prints: DataFrame, layout: Layout, whole: bool, similarity: float
         table = pa.Table.from_batches(held)
         values, nodes, parts = (table.column(c).to_numpy() for c in ("key", "node", "part"))
         values = values.view(np.uint64) & rest
-        sketches = np.stack([table.column(c).to_numpy() for c in ("s0", "s1")], axis=1).view(np.uint64)
+        sketches = np.stack([table.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
         # with a prefix bit deleted the rest must be equal
         deleted = (place >> prefix) % (prefix + 1)
         masks = [int(rest)] if deleted < prefix else [int(rest) ^ (1 << k) for k in range(low)]
