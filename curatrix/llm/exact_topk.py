@@ -8,7 +8,7 @@ the query x greatest length of the bucket):
 
 * over 1: nothing in the bucket can reach the bound;
 * high: coordinate pruning. On the query's strongest coordinate, a vector must lie in the interval
-  that the threshold leaves it; the bucket's sorted coordinate gives the candidates;
+  that the threshold leaves it; the bucket's vectors in that interval are the candidates;
 * low: length pruning. Only the leading vectors, long enough to reach the bound, are candidates.
 
 Candidates' products are then computed exactly. Blocks and buckets meet by an equality join on a lane
@@ -36,7 +36,7 @@ COORDINATE_FROM = 0.6
 #: Integers below this size are exact in a double.
 EXACT = float(1 << 53)
 
-PACKED = "pack long, ids array<long>, n int, dim int, top double, low double, data binary"
+PACKED = "pack long, ids array<long>, rows array<long>, n int, dim int, top double, low double, data binary"
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -47,7 +47,7 @@ def quantised(vector: Column, scale: int) -> Column:
 
 
 def _pack(rows: DataFrame, size: int, with_bound: bool = False) -> DataFrame:
-    """Rows (id, v, norm) of each partition, in its order, packed ``size`` a row."""
+    """Rows (row, id, v, norm) of each partition, in its order, packed ``size`` a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -66,7 +66,7 @@ def _pack(rows: DataFrame, size: int, with_bound: bool = False) -> DataFrame:
             norms = table.column("norm").to_numpy()
             low = table.column("low").to_numpy() if with_bound else np.zeros(0)
             count += 1
-            return pa.record_batch([[part + count], [table.column("id").to_pylist()], [table.num_rows], [dim], [float(norms.max())], [float(low.min(initial=np.inf))], [matrix.tobytes()]], schema=pa.schema([("pack", pa.int64()), ("ids", pa.list_(pa.int64())), ("n", pa.int32()), ("dim", pa.int32()), ("top", pa.float64()), ("low", pa.float64()), ("data", pa.binary())]))
+            return pa.record_batch([[part + count], [table.column("id").to_pylist()], [table.column("row").to_pylist()], [table.num_rows], [dim], [float(norms.max())], [float(low.min(initial=np.inf))], [matrix.tobytes()]], schema=pa.schema([("pack", pa.int64()), ("ids", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("n", pa.int32()), ("dim", pa.int32()), ("top", pa.float64()), ("low", pa.float64()), ("data", pa.binary())]))
 
         for batch in batches:
             held.append(batch)
@@ -86,9 +86,9 @@ def _matrix(row: dict, prefix: str) -> np.ndarray:
     return np.frombuffer(row[f"{prefix}data"], np.int64).reshape(row[f"{prefix}n"], row[f"{prefix}dim"])
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of some candidates without the query's own rows, ties to smaller ids."""
-    other = ids != own
+def _best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of some candidates without the query's own row, ties to smaller ids."""
+    other = rows != own
     scores, ids = scores[other], ids[other]
     if len(scores) > k:
         # all that tie with the k-th stay until ids decide
@@ -98,8 +98,9 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.nda
     return scores[order], ids[order]
 
 
-def search_bucket(queries: np.ndarray, q_ids: np.ndarray, bounds: np.ndarray, bucket: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(position of the query, scores, ids): of each query its k best in the bucket that reach its bound.
+def search_bucket(queries: np.ndarray, q_rows: np.ndarray, bounds: np.ndarray, bucket: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(position of the query, scores, ids): of each query its k best in the bucket that reach its bound. ``q_rows`` and
+    ``own`` are the row numbers of queries and bucket.
 
     ``bucket`` is sorted by length, longest first. Bounds of -inf prune nothing.
     """
@@ -128,7 +129,7 @@ def search_bucket(queries: np.ndarray, q_ids: np.ndarray, bounds: np.ndarray, bu
             got = scores[rows, column]
             reach = got >= bounds[at]
             if reach.any():
-                yield at, *_best(got[reach], ids[rows][reach], q_ids[at], k)
+                yield at, *_best(got[reach], ids[rows][reach], own[rows][reach], q_rows[at], k)
     unit = None
     for at in live[local[live] >= COORDINATE_FROM]:
         if unit is None:
@@ -145,58 +146,59 @@ def search_bucket(queries: np.ndarray, q_ids: np.ndarray, bounds: np.ndarray, bu
             got = products(rows, at)
             reach = got >= bounds[at]
             if reach.any():
-                yield at, *_best(got[reach], ids[rows][reach], q_ids[at], k)
+                yield at, *_best(got[reach], ids[rows][reach], own[rows][reach], q_rows[at], k)
 
 
 def top_k(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", query_mod: int = 100, scale: int = 1024) -> DataFrame:
     """The k highest integer inner products of each query with all other rows: query_id, rank (from 1),
     vec_id, score. Components count as floor(scale * x).
 
-    Queries are the rows whose id is divisible by ``query_mod``; all rows are candidates but those with
-    the query's own id. Fewer than k candidates give fewer rows. Ties go to the smaller id. Vectors that
+    Queries are the rows whose id is divisible by ``query_mod``; all rows are candidates but the query's own,
+    others of its id too. Fewer than k candidates give fewer rows. Ties go to the smaller id. Vectors that
     are null or hold null or non-finite components, and rows with a null id, take no part. Of unequal
     lengths, the shorter vector is filled up with zeros. Repeated rows are candidates each; a repeated
-    query counts once. Scaled components beyond 64 bits raise an error. Other columns are not read.
+    query is answered for each of its rows. Scaled components beyond 64 bits raise an error. Other columns are not read.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where("id is not null and v is not null")
+    rows = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where("id is not null and v is not null")
     rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))
     ordered = rows.repartitionByRange(F.desc("norm"), F.asc("id")).sortWithinPartitions(F.desc("norm"), F.asc("id"))
     buckets = checkpointed(_pack(ordered, BUCKET_ROWS))
-    queries = rows.where(F.col("id") % query_mod == 0).dropDuplicates(["id"])
+    queries = rows.where(F.col("id") % query_mod == 0)
     blocks = checkpointed(_pack(queries.withColumn("low", F.lit(float("-inf"))), BLOCK_ROWS, with_bound=True))
     # one bucket, a fixed number of rows
-    seed = buckets.orderBy(F.desc("top"), "pack").limit(1).select(*(F.col(c).alias(f"c_{c}") for c in ("ids", "n", "dim", "data")))
+    seed = buckets.orderBy(F.desc("top"), "pack").limit(1).select(*(F.col(c).alias(f"c_{c}") for c in ("ids", "rows", "n", "dim", "data")))
     first = F.broadcast(seed.withColumn("one", F.lit(1)))
-    q_side = blocks.select("pack", *(F.col(c).alias(f"q_{c}") for c in ("ids", "n", "dim", "top", "data")))
+    q_side = blocks.select("pack", *(F.col(c).alias(f"q_{c}") for c in ("ids", "rows", "n", "dim", "top", "data")))
 
     def bounds_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                q, q_ids = _matrix(row, "q_"), np.array(row["q_ids"])
-                bounds = np.full(len(q_ids), -np.inf)
-                for at, scores, _ in search_bucket(q, q_ids, bounds.copy(), _matrix(row, "c_"), np.array(row["c_ids"]), k):
+                q, q_rows = _matrix(row, "q_"), np.array(row["q_rows"])
+                bounds = np.full(len(q_rows), -np.inf)
+                for at, scores, _ in search_bucket(q, q_rows, bounds.copy(), _matrix(row, "c_"), np.array(row["c_ids"]), np.array(row["c_rows"]), k):
                     if len(scores) == k:
                         bounds[at] = scores[-1]
                 lengths = np.sqrt((q.astype(np.float64) ** 2).sum(1))
                 reach = np.where(bounds > 0, bounds / np.maximum(lengths, 1e-300), 0.0)
-                yield pa.record_batch([[row["pack"]], [q_ids.tolist()], [row["q_n"]], [row["q_dim"]], [row["q_data"]], [bounds.tolist()], [float(reach.min(initial=np.inf))]], schema=pa.schema([("pack", pa.int64()), ("q_ids", pa.list_(pa.int64())), ("q_n", pa.int32()), ("q_dim", pa.int32()), ("q_data", pa.binary()), ("bounds", pa.list_(pa.float64())), ("needs", pa.float64())]))
+                yield pa.record_batch([[row["pack"]], [row["q_ids"]], [row["q_rows"]], [row["q_n"]], [row["q_dim"]], [row["q_data"]], [bounds.tolist()], [float(reach.min(initial=np.inf))]], schema=pa.schema([("pack", pa.int64()), ("q_ids", pa.list_(pa.int64())), ("q_rows", pa.list_(pa.int64())), ("q_n", pa.int32()), ("q_dim", pa.int32()), ("q_data", pa.binary()), ("bounds", pa.list_(pa.float64())), ("needs", pa.float64())]))
 
-    bounded = q_side.withColumn("one", F.lit(1)).join(first, "one").drop("one").mapInArrow(bounds_of, "pack long, q_ids array<long>, q_n int, q_dim int, q_data binary, bounds array<double>, needs double")
+    bounded = q_side.withColumn("one", F.lit(1)).join(first, "one").drop("one").mapInArrow(bounds_of, "pack long, q_ids array<long>, q_rows array<long>, q_n int, q_dim int, q_data binary, bounds array<double>, needs double")
     n_lanes = min(MOST_LANES, max(LANES, buckets.count() // LANE_BUCKETS))
     lanes = bounded.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(n_lanes - 1))))
-    dealt = buckets.select(F.pmod(F.hash("pack"), F.lit(n_lanes)).alias("lane"), F.col("top").alias("c_top"), *(F.col(c).alias(f"c_{c}") for c in ("ids", "n", "dim", "data")))
+    dealt = buckets.select(F.pmod(F.hash("pack"), F.lit(n_lanes)).alias("lane"), F.col("top").alias("c_top"), *(F.col(c).alias(f"c_{c}") for c in ("ids", "rows", "n", "dim", "data")))
     pairs = dealt.join(lanes, "lane").where(F.col("c_top") >= F.col("needs") * (1 - 1e-9))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {c: batch.column(c)[at].as_py() for c in batch.schema.names}
-                q_ids = np.array(row["q_ids"])
-                found = list(search_bucket(_matrix(row, "q_"), q_ids, np.array(row["bounds"]), _matrix(row, "c_"), np.array(row["c_ids"]), k))
+                q_ids, q_rows = np.array(row["q_ids"]), np.array(row["q_rows"])
+                found = list(search_bucket(_matrix(row, "q_"), q_rows, np.array(row["bounds"]), _matrix(row, "c_"), np.array(row["c_ids"]), np.array(row["c_rows"]), k))
                 if found:
                     sizes = [len(ids) for _, _, ids in found]
-                    yield pa.record_batch([pa.array(np.repeat(q_ids[[f[0] for f in found]], sizes)), pa.array(np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
+                    at = [f[0] for f in found]
+                    yield pa.record_batch([pa.array(np.repeat(q_rows[at], sizes)), pa.array(np.repeat(q_ids[at], sizes)), pa.array(np.concatenate([f[2] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], ["query", "query_id", "vec_id", "score"])
 
-    found = pairs.select("q_ids", "q_n", "q_dim", "q_data", "bounds", "c_ids", "c_n", "c_dim", "c_data").mapInArrow(verify, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.select("q_ids", "q_rows", "q_n", "q_dim", "q_data", "bounds", "c_ids", "c_rows", "c_n", "c_dim", "c_data").mapInArrow(verify, "query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

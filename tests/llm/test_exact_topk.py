@@ -10,9 +10,10 @@ from curatrix.llm import exact_topk
 def brute(rows, k, mod, scale):
     good = [(i, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted({i for i, _ in good if i % mod == 0}):
-        own = next(v for i, v in good if i == q)
-        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in good if i != q)[:k]
+    for at, (q, own) in enumerate(good):
+        if q % mod:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for other, (i, v) in enumerate(good) if other != at)[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
@@ -43,6 +44,13 @@ def test_ties_copies_and_odd_vectors(spark):
     assert run(spark, rows) == brute(rows, 10, 10, 1024)
 
 
+def test_twins_of_a_query_are_candidates(spark):
+    v, w = [0.5, 1.0], [0.25, 0.0]
+    found = run(spark, [(0, v), (0, v), (1, w)])
+    assert found == brute([(0, v), (0, v), (1, w)], 10, 10, 1024)
+    assert [r[:3] for r in found] == [(0, 1, 0), (0, 1, 0), (0, 2, 1), (0, 2, 1)]
+
+
 def test_few_candidates_and_shorter_vectors(spark):
     assert run(spark, [(0, [1.0, 2.0]), (1, [1.0]), (2, [])]) == [(0, 1, 1, 1024 * 1024), (0, 2, 2, 0)]
     assert run(spark, [(0, [1.0])]) == []
@@ -59,7 +67,7 @@ def test_bucket_search_agrees_with_all_products(top):
     queries = np.concatenate([bucket[:5] + 1, np.floor(rng.normal(size=(20, 16)) * 100).astype(np.int64)])
     scores = queries @ bucket.T
     bounds = np.sort(scores, 1)[:, -10].astype(float)
-    found = {at: (s.tolist(), i.tolist()) for at, s, i in exact_topk.search_bucket(queries, np.full(25, -1), bounds, bucket, ids, 10)}
+    found = {at: (s.tolist(), i.tolist()) for at, s, i in exact_topk.search_bucket(queries, np.full(25, -1), bounds, bucket, ids, ids, 10)}
     for at in range(25):
         order = np.lexsort((ids, -scores[at]))[:10]
         assert found[at] == (scores[at][order].tolist(), ids[order].tolist())
