@@ -6,6 +6,7 @@ import copy
 import hashlib
 import json
 
+#: Keys, kinds and roles in the documents below are those of the contracts.
 STAMP = "2024-05-01T10:00:00Z"
 
 

@@ -170,6 +170,31 @@ def test_preflight(spark):
     assert ("class_below_min_train_instances", "a") in found and ("small_train_split", None) in found
 
 
+def test_a_report_names_findings_and_the_reason_to_go_on(spark):
+    import json
+
+    items = spark.createDataFrame([(0, "train", "g0"), (1, "validation", "g1")], "image_id long, split string, group_id string")
+    rows = spark.createDataFrame([], OBJECT)
+    found = preflight.preflight_findings(items, rows, spark.createDataFrame([("a",)], "class_id string"))
+    tables = {"splits": preflight.distribution(items, rows), "totals": preflight.totals(items, rows)}
+    with pytest.raises(ValueError, match="blocks"):
+        preflight.report_file(tables, found, "preflight.json")
+    row = preflight.report_file(tables, found, "preflight.json", "a trial").first()
+    doc = json.loads(bytes(row.content))
+    assert row.path == "preflight.json" and set(doc) == {"report", "findings", "override_reason"} and doc["override_reason"] == "a trial"
+    assert doc["report"]["totals"][0]["images"] == 2 and {x["rule"] for x in doc["findings"]} == {r.rule for r in found.collect()}
+    none = found.limit(0)
+    assert json.loads(bytes(preflight.report_file(tables, none, "p.json").first().content))["findings"] == []
+
+
+def test_exit_statuses(spark):
+    def broken():
+        raise ValueError("no such folder")
+
+    one = spark.createDataFrame([("d", "/", "rule", "m")], findings.FINDING)
+    assert [findings.exit_status(x) for x in (one.limit(0), one, lambda: one, broken, lambda: spark.read.parquet("/nowhere"))] == [0, 1, 1, 2, 2]
+
+
 def source(spark, tmp_path, images=4):
     import json
 
@@ -213,7 +238,7 @@ def test_each_image_has_one_outcome(spark, tmp_path):
     rows = [("1.jpg", True, False, "s", 1), ("2.jpg", True, False, "s", 2), ("3.jpg", True, True, "t", 3), ("4.jpg", False, None, None, None)]
     ends = {r.id: r.reason for r in ingest.outcomes(source(spark, tmp_path, 5).images, spark.createDataFrame(rows, DECODED)).collect()}
     assert ends == {1: None, 2: "duplicate_image", 3: "exif_orientation", 4: "decode_failed", 5: "missing_source"}
-    with pytest.raises(ValueError, match="unusable"):
+    with pytest.raises(ValueError, match="cannot be used"):
         take(spark, tmp_path, rows, images=5)
 
 
