@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Used only where a session on one machine names no ``spark.checkpoint.dir``.
 FALLBACK_DIR = "/tmp/checkpoints"
 #: Rows of a few columns that a task of a small step has at least, where there are as many.
-TASK_ROWS = 50_000
+TASK_ROWS = 20_000
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
