@@ -64,7 +64,7 @@ SHARES = 32
 #: The part that all of them have in the search of the others: no text's own hash but by a chance of 1 in 2**64.
 CROWD_PART = 0
 #: Rows of whole shingle sets that a task verifies, and pairs that a task of the index gives on at once.
-SET_ROWS, PAIR_ROWS = 2_000, 1 << 17
+SET_ROWS, PAIR_ROWS = 500, 1 << 16
 #: Shingles whose bits are counted at once.
 BLOCK = 255 * 16
 
