@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, strings
 from ..functions.geometry import Box
-from ..operators import decode, lineage
+from ..operators import decode, images, lineage
 from ..session import checkpointed, shared_path
 from ..sources import documents, file_sink, sinks
 from . import contracts, ingest, preflight, publishing, records, run_records, validation
@@ -250,4 +250,11 @@ def q56_source_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("id", "file_name", "name", *(F.get("bbox", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))))
 
 
+def q57_canonical_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG files made from the vectors, decoded: size and sum of the grey values; those that are damaged are not ok, with zeros."""
+    found = images.canonical_images(made.image_files(table(spark, sf_dir, "embeddings")))
+    grey = F.aggregate("grey", F.lit(0.0), lambda a, x: a + x)
+    return found.select("file_name", "ok", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("width", "height")), F.coalesce(F.round(grey).cast("long"), F.lit(0)).alias("grey"))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("q") and name[1].isdigit()}

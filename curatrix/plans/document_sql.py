@@ -146,4 +146,6 @@ UNION ALL SELECT run, ['/weights/last.pt', '/config/dataset.json', '/results.csv
   ['artifact_missing', 'hash_mismatch', 'results_invalid', 'results_invalid', 'results_invalid', 'non_portable_config'][fault] FROM r WHERE fault BETWEEN 1 AND 6""",
     "q56_source_reader": f"""WITH {OBJECTS} SELECT image_id * 100 + pos AS id, 'o "' || image_id || '" }}].jpg' AS file_name, CASE class_id WHEN 'A' THEN 'first' WHEN 'N' THEN 'second' ELSE 'th]ird' END AS name,
   x1, y1, x2, y2 FROM objects JOIN orders ON image_id = o_orderkey""",
+    "q57_canonical_images": """WITH v AS (SELECT vec_id, vec_id % 9 NOT IN (1, 2, 3) AS ok, list_sum(list_transform(embedding, lambda x: least(255, greatest(0, floor((CAST(x AS DOUBLE) + 1) * 127))))) AS grey FROM embeddings)
+SELECT vec_id AS file_name, ok, CASE WHEN ok THEN 8 ELSE 0 END AS width, CASE WHEN ok THEN 8 ELSE 0 END AS height, CASE WHEN ok THEN CAST(grey AS BIGINT) ELSE 0 END AS grey FROM v""",
 }
