@@ -12,14 +12,14 @@ from ..functions.strings import stable_order_key
 CHUNK_DIGITS = 3
 
 
-def assign_splits(groups: DataFrame, classes: DataFrame, scope: str, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+def assign_splits(groups: DataFrame, classes: DataFrame, scope: str, seed: int = 42, train_fraction: float = 0.8, least_groups: int = 2) -> DataFrame:
     """(group_id, split): ``groups`` has group_id, ``classes`` the pairs (group_id, class_id) of its objects.
 
     Groups stand in a hash order of scope and seed. The first group of each class trains. More
     groups train in order until their number is the rounded share (at least the covered ones, at
     most all but one); the rest validate. If none is left, the last training group whose classes all have
-    another one validates, else the last group. One group, or a share outside 0 to 1, raises; no groups
-    give no rows. Only sums of chunks of the order, not the groups, are put in order in one task.
+    another one validates, else the last group. Fewer than ``least_groups``, or a share outside 0 to 1, raises; no groups
+    give no rows. A lone group that is let through validates. Only sums of chunks of the order, not the groups, are put in order in one task.
     """
     if not 0.0 < train_fraction < 1.0:
         raise ValueError("the share of training groups lies between 0 and 1, both excluded")
@@ -43,7 +43,7 @@ def assign_splits(groups: DataFrame, classes: DataFrame, scope: str, seed: int =
     inside = Window.partitionBy("chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     ranked = state.withColumn("free_rank", F.sum(free).over(inside)).join(chunks, "chunk")
     target = F.greatest("covered", F.least(F.col("n") - 1, F.bround(F.col("n") * F.lit(train_fraction)).cast("long")))
-    checked = F.when(F.col("n") >= 2, F.lit(True)).otherwise(F.raise_error(F.lit("at least two groups are needed")).cast("boolean"))
+    checked = F.when(F.col("n") >= least_groups, F.lit(True)).otherwise(F.raise_error(F.lit("at least two groups are needed")).cast("boolean"))
     trains = F.col("covers") | (F.col("offset") + F.col("free_rank") <= target - F.col("covered"))
     # nothing is left to validate just if every group covers a class
     last_resort = (F.col("covered") == F.col("n")) & (F.col("place") == F.col("moved"))
