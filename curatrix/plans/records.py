@@ -9,6 +9,7 @@ from ..functions.geometry import is_finite
 from ..functions.strings import SHA256, is_machine_path
 from ..operators import findings as f
 from ..operators.lineage import best_row, missing_from, same_keys
+from ..session import shuffled
 
 #: Columns of a results table and the names of the metrics in a record.
 METRICS = {"metrics/precision(B)": "P", "metrics/recall(B)": "R", "metrics/mAP50(B)": "mAP50", "metrics/mAP50-95(B)": "mAP50-95"}
@@ -60,6 +61,7 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 def training_metrics(results: DataFrame) -> DataFrame:
     """(run, metrics map): of the best epoch, with its number and how many epochs there are. Runs whose first
     row lacks a detection metric raise."""
+    results = shuffled(results)
     best = best_row(results.withColumn("by", F.col("values")[BEST_BY]), ["run"], "by", ["pos"])
     first = results.where("pos = 0").select("run", missing_from(list(METRICS), F.map_keys("values")).alias("lacking"))
     counted = best.join(results.groupBy("run").agg(F.count("*").alias("n")), "run").join(first, "run")

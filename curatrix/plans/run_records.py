@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import SHA256
 from ..operators import findings as f
-from ..session import checkpointed
+from ..session import checkpointed, shuffled
 from . import packages, records
 from . import validation as v
 
@@ -23,7 +23,7 @@ METRICS, MODEL, PROBE = "evaluation/metrics.json", "model.onnx", "export/probe.j
 
 def _hashed(files: DataFrame, paths: list[str]) -> DataFrame:
     """(run, hashes): the hash of each of a run's files by path; of a path given twice none is known."""
-    own = files.where(F.col("path").isin(*paths)).groupBy("run", "path").agg(F.count("*").alias("n"), F.first(F.sha2("content", 256)).alias("sha256")).where("n = 1")
+    own = shuffled(files).where(F.col("path").isin(*paths)).groupBy("run", "path").agg(F.count("*").alias("n"), F.first(F.sha2("content", 256)).alias("sha256")).where("n = 1")
     return own.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("path", "sha256"))).alias("hashes"))
 
 
