@@ -21,6 +21,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -133,8 +134,6 @@ class PieceTransducer:
         self.bytes = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.byte_ids = frozenset(self.bytes.values())
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
-        #: The trie: by character the id of the piece that ends there, or -1, and what follows.
-        self.trie: dict[str, tuple] = self._trie(self.normal)
         #: No arc is longer, so that a position looks at so many characters and not at the whole rest of a long word.
         self.reach = max(map(len, self.normal), default=1)
         #: Characters of a piece; the last but one stands for the fallback of one character.
@@ -148,6 +147,11 @@ class PieceTransducer:
         self.pairs: dict[int, bool] = {}
         self.made: dict[int, tuple | None] = {}
 
+    @cached_property
+    def trie(self) -> dict[str, tuple]:
+        """By character the id of the piece that ends there, or -1, and what follows; workers that decode do not build it."""
+        return self._trie(self.normal)
+
     @staticmethod
     def _trie(pieces: dict[str, int]) -> dict[str, tuple]:
         below: dict[str, dict] = {"": {}}
