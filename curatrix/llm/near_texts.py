@@ -5,10 +5,10 @@ over these sets differ in 15% of their bits, so 64 bits tell little; here a fing
 cut into segments so short that in one of them near copies differ by at most one bit. Each segment is indexed
 under its variants with one bit deleted; texts that share a variant are candidates.
 
-Variants are not all written out. A row of a segment goes to the group of its first bits, and for each of these
-bits to the group without it; the other bits are deleted where the group is: a row costs 1 + PREFIX shuffled
-rows a segment and not one for each bit. Three more words of the fingerprint, the sketch, ride along and
-turn away texts that share a variant by chance.
+Variants are not written out. Values that differ in one bit at most agree in their first or in their second half, so
+a row of a segment goes to the group of each of its halves and a bit of the other half is deleted where the group
+is: a row costs two shuffled rows a segment, however many texts there are, and not one for each bit. Three more words
+of the fingerprint, the sketch, ride along and turn away texts that share a variant by chance.
 
 The index is searched twice. At first the texts of an equal segment are compared with the middle one of them
 alone, which joins most copies of a text; the second search leaves out what is in one component already, so that
@@ -42,8 +42,6 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 MISS = 2e-4
 #: Bits of a segment at least; they grow with the logarithm of the texts.
 SEGMENT_BITS = 16
-#: Rows that a group holds on average at most, by which its first bits are counted.
-GROUP_BITS, LEAST_PREFIX = 16, 2
 #: Words of the sketch, and in how many of its bits candidates may differ: 0.8 gives 29 of 192, chance 96, a third of the
 #: shingles in common 67.
 SKETCH_WORDS, SKETCH_DISTANCE = 3, 48
@@ -97,12 +95,12 @@ def wide_print(shingles: np.ndarray, width: int) -> np.ndarray:
 
 
 class Layout:
-    """How ``n`` texts are indexed: ``segments`` of ``bits``, groups by the first ``prefix`` bits, words in all."""
+    """How ``n`` texts are indexed: ``segments`` of ``bits``, the longer ``half`` of these, words in all."""
 
     def __init__(self, n: int, similarity: float = SIMILARITY) -> None:
         size = max(1, n).bit_length()
         self.bits = max(SEGMENT_BITS, size - 2)
-        self.prefix = min(self.bits - 4, max(LEAST_PREFIX, size - GROUP_BITS))
+        self.half = -(-self.bits // 2)
         differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
         shares = (1 - differ) ** self.bits + self.bits * differ * (1 - differ) ** (self.bits - 1)
         self.segments = math.ceil(math.log(MISS) / math.log(1 - shares))
@@ -212,11 +210,11 @@ def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def _index(prints: DataFrame, layout: Layout, whole: bool, counted: bool) -> DataFrame:
-    """(key, the sketch, node, part), with n and shared if ``counted``: the rows of the index, sorted in partitions of whole groups. A key numbers the segment,
-    the deleted prefix bit and the prefix, which make the group, and the segment's other bits. Without ``whole``
-    only the rows without a deleted prefix bit."""
-    low, prefix = layout.bits - layout.prefix, layout.prefix
-    names = ["node", "part", *(["n"] if counted else [])]
+    """(key, the sketch, node), with part if ``whole`` and n and shared if ``counted``: the rows of the index, sorted in partitions of
+    whole groups. A key numbers the segment, the half and its value, which make the group, and the other half's value. Without
+    ``whole`` only the rows by their first halves."""
+    half, low = layout.half, layout.bits - layout.half
+    names = ["node", *(["part"] if whole else []), *(["n"] if counted else [])]
     binary = ["shared"] if counted else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,36 +223,37 @@ def _index(prints: DataFrame, layout: Layout, whole: bool, counted: bool) -> Dat
                 rows = batch.slice(at, 2048)
                 matrix = rows.column("fp").flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, layout.width)
                 values = layout.values(matrix)
-                head, rest = values >> np.uint64(low), values & np.uint64((1 << low) - 1)
-                first = np.arange(layout.segments, dtype=np.uint64)[None, :] * np.uint64(prefix + 1)
+                halves = values >> np.uint64(low), values & np.uint64((1 << low) - 1)
+                first = np.arange(layout.segments, dtype=np.uint64)[None, :] * np.uint64(2)
                 shared = rows.column("shared").flatten().to_numpy().reshape(rows.num_rows, SHARES) if counted else []
                 own = [pa.array(np.repeat(np.array([c.tobytes() for c in shared], object), layout.segments), pa.binary())] if counted else []
                 carried = [pa.array(np.repeat(rows.column(c).to_numpy(), layout.segments)) for c in names]
                 sketch = np.repeat(matrix[:, -SKETCH_WORDS:].view(np.int64), layout.segments, axis=0)
-                for deleted in range(0 if whole else prefix, prefix + 1):
-                    kept = head & ~np.uint64(1 << deleted) if deleted < prefix else head
-                    key = (((first + np.uint64(deleted)) << np.uint64(prefix)) | kept) << np.uint64(low) | rest
+                for side in (0, 1) if whole else (0,):
+                    key = (((first + np.uint64(side)) << np.uint64(half)) | halves[side]) << np.uint64(half) | halves[1 - side]
                     yield pa.record_batch([pa.array(key.ravel().view(np.int64)), *(pa.array(sketch[:, k]) for k in range(SKETCH_WORDS)), *carried, *own], ["key", *SKETCH, *names, *binary])
 
     rows = prints.select(*names, *binary, "fp").mapInArrow(run, ", ".join([f"{c} long" for c in ("key", *SKETCH, *names)] + [f"{c} binary" for c in binary]))
-    return rows.repartition(F.shiftright("key", low)).sortWithinPartitions("key")
+    return rows.repartition(F.shiftright("key", half)).sortWithinPartitions("key")
 
 
 def candidates(prints: DataFrame, layout: Layout, whole: bool, similarity: float | None = None) -> DataFrame:
     """Distinct pairs (a, b) of nodes that share a variant and have near sketches, from (node, part, fp): of
     different parts and all of them with ``whole``, else those of ``middle_pairs``. With a ``similarity``, which
     needs the columns n and shared, only the pairs that may have it."""
-    low, prefix = layout.bits - layout.prefix, layout.prefix
-    rest = np.uint64((1 << low) - 1)
+    half = layout.half
+    rest = np.uint64((1 << half) - 1)
 
     def close(place: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
-        values, nodes, parts = (table.column(c).to_numpy() for c in ("key", "node", "part"))
+        if table.num_rows < 2:
+            return
+        values, nodes = (table.column(c).to_numpy() for c in ("key", "node"))
+        parts = table.column("part").to_numpy() if whole else nodes
         values = values.view(np.uint64) & rest
         sketches = np.stack([table.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
-        # with a prefix bit deleted the rest must be equal
-        deleted = (place >> prefix) % (prefix + 1)
-        masks = [int(rest)] if deleted < prefix else [int(rest) ^ (1 << k) for k in range(low)]
+        # the group's half is equal, of the other one bit may differ
+        masks = [int(rest) ^ (1 << k) for k in range(half if (place >> half) % 2 else layout.bits - half)]
 
         if similarity is not None:
             n, shared = table.column("n").to_numpy(), np.frombuffer(b"".join(table.column("shared").to_pylist()), np.int32).reshape(-1, SHARES)
@@ -286,7 +285,7 @@ def candidates(prints: DataFrame, layout: Layout, whole: bool, similarity: float
         held: list[pa.RecordBatch] = []
         current = None
         for batch in batches:
-            places = batch.column("key").to_numpy() >> low
+            places = batch.column("key").to_numpy() >> half
             edges = [0, *(np.flatnonzero(places[1:] != places[:-1]) + 1).tolist(), len(places)]
             for lo, hi in zip(edges, edges[1:], strict=False):
                 if hi > lo:

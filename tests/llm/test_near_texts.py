@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from curatrix.llm import near_texts as nt
 
@@ -152,3 +154,19 @@ def test_rows_of_files_and_of_other_tables(spark, make_docs, words, tmp_path):
     want = sorted([(1, base), (2, texts[1]), (0, ""), (6, texts[5])])
     for table in (docs, read, again, read.where("doc_id is not null or text = '' or text is null")):
         assert sorted(map(key, nt.drop_near_copies(table).collect())) == want
+
+
+def test_the_index_has_two_rows_a_segment(make_docs, words):
+    """One by each half of its bits, of any number of texts; values that differ in one bit at most meet in one of them."""
+    layout = nt.Layout(50)
+    assert nt.Layout(10_000_000).half * 2 >= nt.Layout(10_000_000).bits
+    texts = make_docs([words(40) for _ in range(50)]).selectExpr("doc_id as row", "doc_id as id", "text")
+    prints = nt._printed(texts, layout, 5).withColumn("part", F.col("node"))
+    rows = nt._index(prints, layout, True, False).select(F.col("key"), "node").collect()
+    assert len(rows) == 2 * layout.segments * 50
+    values = {r.node: layout.values(np.array([r.fp], np.int64).view(np.uint64))[0] for r in prints.collect()}
+    near = {(a, b) for a in values for b in values if a < b and (np.bitwise_count(values[a] ^ values[b]) <= 1).any()}
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.key >> layout.half, set()).add(r.node)
+    assert all(any(a in g and b in g for g in groups.values()) for a, b in near)
