@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, iou
+from ..session import checkpointed
 
+#: Boxes of both sides of a group that are compared without cells at most.
+DIRECT_BOXES = 64
 SIDES = ("x1", "y1", "x2", "y2")
 
 
@@ -44,14 +47,31 @@ def in_cells(boxes: DataFrame, keys: list[str], least_iou: float = 0.0) -> DataF
     return held.withColumn("_places", places).select(*boxes.columns, F.size("_places").alias("_cells"), F.explode("_places").alias("_cell"))
 
 
-def overlapping(left: DataFrame, right: DataFrame, keys: list[str], least_iou: float = 0.0) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str], least_iou: float = 0.0, direct_boxes: int = DIRECT_BOXES) -> DataFrame:
     """(keys, a, b, iou): the pairs of a box of ``left`` and one of ``right``, as structs of their columns, that have the
     same keys and an overlap over ``least_iou``. Null keys are equal. Each pair is found once.
 
-    Only boxes of one cell are compared; a place where many boxes lie on each other gives the pairs that there are.
+    Groups of up to ``direct_boxes`` are compared as they are, in one shuffle. In larger ones only boxes of one cell are
+    compared; a place where many boxes lie on each other gives the pairs that there are.
     """
     both = left.select(*keys, *SIDES, F.struct(*left.columns).alias("a"), F.lit(True).alias("_left")).unionByName(
         right.select(*keys, *SIDES, F.struct(*right.columns).alias("b"), F.lit(False).alias("_left")), allowMissingColumns=True)
+    both = both.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
+    large = checkpointed(both.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > direct_boxes).select(*(F.col(k).alias(f"_l{i}") for i, k in enumerate(keys))))
+    if large.isEmpty():
+        return _in_groups(both, keys, least_iou)
+    same = [F.col(k).eqNullSafe(F.col(f"_l{i}")) for i, k in enumerate(keys)]
+    return _in_groups(both.join(large, same, "left_anti"), keys, least_iou).unionByName(_in_grids(both.join(large, same, "left_semi"), keys, least_iou))
+
+
+def _in_groups(both: DataFrame, keys: list[str], least_iou: float) -> DataFrame:
+    """Every box of the left side with all of the right in its group, whose boxes are few."""
+    met = both.withColumn("_others", F.collect_list("b").over(Window.partitionBy(*keys))).where("_left").select(*keys, "a", F.explode("_others").alias("b"))
+    boxes = [Box(*(F.col(f"{s}.{c}") for c in SIDES)) for s in "ab"]
+    return met.select(*keys, "a", "b", iou(*boxes).alias("iou")).where(F.col("iou") > least_iou)
+
+
+def _in_grids(both: DataFrame, keys: list[str], least_iou: float) -> DataFrame:
     # both sides share the levels of their group
     rows = in_cells(both, keys, least_iou)
     own, other = rows.where("_left").select(*keys, "_cell", "a"), rows.where("not _left").select(*(F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)), F.col("_cell").alias("_other"), "b")
