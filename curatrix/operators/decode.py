@@ -20,16 +20,20 @@ def decode_rows(outputs: DataFrame, labels: DataFrame, in_width: int, in_height:
 
     A row is x1, y1, x2, y2, score, class index in the model's input. The index must be whole and among
     ``labels`` (output_index, class_id), the score from 0 to 1, the box not inverted; else it raises. Rows
-    without area in the image are left out; pos numbers the others as they come.
+    without area in the image are left out; pos numbers the others as they come. ``labels`` is broadcast: a model
+    has few, and a shuffle by class index would leave all rows to as many tasks.
     """
     raw = outputs.select("frame", "width", "height", F.posexplode("rows").alias("pos", "r"))
     v = [F.get("r", F.lit(k)).cast("double") for k in range(6)]
-    joined = raw.withColumn("index", v[5]).join(labels.select(F.col("output_index").cast("double").alias("index"), "class_id"), "index", "left")
+    joined = raw.withColumn("index", v[5]).join(F.broadcast(labels.select(F.col("output_index").cast("double").alias("index"), "class_id")), "index", "left")
     good = F.col("class_id").isNotNull() & is_finite(v[4]) & (v[4] >= 0) & (v[4] <= 1)
-    box = geometry.inverse_stretch(Box(*v[:4]), F.lit(float(in_width)), F.lit(float(in_height)), F.col("width"), F.col("height"))
+    box = geometry.unstretched(Box(*v[:4]), F.lit(float(in_width)), F.lit(float(in_height)), F.col("width"), F.col("height"))
     checked = F.when(good, box).otherwise(F.raise_error(F.lit("unknown class index or score out of range")).cast("array<double>"))
-    kept = joined.withColumn("box", checked).where("box is not null")
-    return kept.select("frame", "pos", "class_id", v[4].alias("confidence"), *(F.get("box", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))))
+    # exploded, so that the filter takes the box as it is: pushed below, it would compute it again, and Java leaves so long a
+    # method uncompiled
+    boxes = joined.select("frame", "pos", "class_id", v[4].alias("confidence"), F.explode(F.array(checked)).alias("box"))
+    cut = Box.of(F.col("box"))
+    return boxes.where((cut.width > 0) & (cut.height > 0)).select("frame", "pos", "class_id", "confidence", *(F.get("box", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))))
 
 
 def detection_findings(detections: DataFrame, labels: DataFrame) -> DataFrame:

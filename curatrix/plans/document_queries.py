@@ -78,8 +78,8 @@ def q38_decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows of a model with an input of 64 x 64, a frame per order: boxes in the image, classes by index."""
     rows = objects(spark, sf_dir).where("x1 <= x2 and y1 <= y2")
     raw = F.array(*(F.col(c).cast("double") for c in ("x1", "y1", "x2", "y2")), F.col("confidence") / 10, (F.col("pos") % 3).cast("double"))
-    packed = rows.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("pos", raw.alias("r")))).alias("rows"))
-    outputs = packed.select(F.col("image_id").alias("frame"), F.lit(100.0).alias("width"), F.lit(80.0).alias("height"), F.transform("rows", lambda x: x["r"]).alias("rows"))
+    packed = rows.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("pos", raw.alias("r")))).alias("rows"))
+    outputs = packed.select(F.col("image_id").alias("frame"), F.lit(100.0).alias("width"), F.lit(80.0).alias("height"), F.col("rows.r").alias("rows"))
     labels = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two")], "output_index int, class_id string")
     found = decode.decode_rows(outputs, labels, 64, 64)
     return found.select("frame", F.col("pos").cast("int").alias("pos"), "class_id", F.round("confidence", 9).alias("confidence"), *(F.round(c, 6).alias(c) for c in ("x1", "y1", "x2", "y2")))
