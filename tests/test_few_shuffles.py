@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from curatrix.operators import decode
+from curatrix.operators import decode, quantiles
 from curatrix.plans import catalogue
 
 
@@ -29,3 +29,13 @@ def test_a_decoded_box_is_computed_once(spark):
 def test_objects_that_are_grouped_by_image_are_shuffled_once(spark, sf_dir):
     grouped = catalogue.objects(spark, sf_dir).groupBy("image_id").agg(F.collect_list("pos"))
     assert _plan(grouped).count("Exchange hashpartitioning") == 1
+
+
+def test_values_are_not_shuffled_by_group_to_a_few_ranks(spark, monkeypatch):
+    rows = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    ranks = spark.createDataFrame([(0, 1), (1, 500)], "g long, rank int")
+    few = quantiles.ranked_values(rows, ["g"], "v", ranks, most_rows=20)
+    assert "SortMergeJoin" not in _plan(few)
+    monkeypatch.setattr(quantiles, "MAX_BROADCAST_RANGES", 1)
+    many = quantiles.ranked_values(rows, ["g"], "v", ranks, most_rows=20)
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()} == {(0, 1, 0.0), (1, 500, 999.0)}
