@@ -47,12 +47,13 @@ def read_source(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
         columns = [x.split(" ")[0] for x in fields.split(", ")]
         kind = f"struct<{', '.join(x.replace(' ', ': ', 1) for x in fields.split(', '))}, _corrupt: string>"
         element = F.from_json("text", f"{fields}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-        whole = element["_corrupt"].isNull() & F.startswith("text", F.lit("{"))
         wrong = F.raise_error(F.concat(F.lit(f"an element of {name} is not of the form of its array: "), F.substring("text", 1, 200))).cast(kind)
         # other rows are named too: a filter may be moved behind this
         own = (F.col("name") == name) & F.col("text").isNotNull()
-        judged = F.when(~own, F.lit(None).cast(kind)).when(whole, element).otherwise(wrong)
-        tables.append(parts.where(own).select(judged.alias("e")).select(*(F.col(f"e.{c}") for c in columns)))
+        # a column of its own: the judgement and what is read would each parse the text
+        read = parts.where(own).select("name", "text", element.alias("e"))
+        judged = F.when(~own, F.lit(None).cast(kind)).when(F.col("e._corrupt").isNull() & F.startswith("text", F.lit("{")), F.col("e")).otherwise(wrong)
+        tables.append(read.select(judged.alias("e")).select(*(F.col(f"e.{c}") for c in columns)))
     return Source(*tables)
 
 

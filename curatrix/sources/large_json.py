@@ -21,7 +21,7 @@ from pyarrow import fs as files_of
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, spread
 from .file_sink import _place
 
 #: Bytes of a range; a task reads as many beyond it at a time.
@@ -106,7 +106,7 @@ def _ranges(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / range_bytes)))
     rows = files.select("path", "length", cut.alias("k")).withColumn("start", F.col("k") * range_bytes)
     # a range is a task's unit of work, so ranges are spread before they are read
-    return rows.select("path", "k", "start", F.least(F.lit(range_bytes), F.col("length") - F.col("start")).alias("size")).repartition("path", "k")
+    return spread(rows.select("path", "k", "start", F.least(F.lit(range_bytes), F.col("length") - F.col("start")).alias("size")), "path", "k")
 
 
 def _summaries(ranges: DataFrame) -> DataFrame:
@@ -262,20 +262,24 @@ def _elements(ranges: DataFrame, names: list[str], range_bytes: int) -> DataFram
                 depth = int(depths[-1]) if len(depths) else depth
                 data += more
 
+    def packed(path: str, held: list[tuple[str, int, str | None]]) -> pa.RecordBatch:
+        columns = zip(*held, strict=True) if held else ((), (), ())
+        return pa.record_batch([pa.array([path] * len(held), pa.string()), *(pa.array(c, k.type) for c, k in zip(columns, list(kinds)[1:], strict=True))], schema=kinds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                held: list[dict] = []
+                held: list[tuple[str, int, str | None]] = []
                 size = 0
                 for name, offset, text in of_range(row):
-                    held.append({"path": row["path"], "name": name, "offset": offset, "text": None if text is None else text.decode()})
+                    held.append((name, offset, None if text is None else text.decode()))
                     size += len(text or b"")
                     if size >= BATCH_BYTES:
-                        yield pa.RecordBatch.from_pylist(held, kinds)
+                        yield packed(row["path"], held)
                         held, size = [], 0
-                yield pa.RecordBatch.from_pylist(held, kinds)
+                yield packed(row["path"], held)
 
-    return ranges.repartition("path", "start").mapInArrow(run, "path string, name string, offset long, text string")
+    return spread(ranges, "path", "start").mapInArrow(run, "path string, name string, offset long, text string")
 
 
 def array_parts(spark: SparkSession, path: str, names: list[str], range_bytes: int = RANGE_BYTES, block_ranges: int = BLOCK_RANGES) -> DataFrame:

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from curatrix.plans import ingest
 from curatrix.sources import large_json as lj
@@ -86,3 +87,20 @@ def test_a_source_read_in_ranges(spark, tmp_path):
         (tmp_path / "b.json").write_text(json.dumps(broken))
         with pytest.raises(Exception, match="needed|not of the form"):
             ingest.read_source(spark, str(tmp_path / "b.json")).images.collect()
+
+
+def test_ranges_of_few_bytes_are_read_by_many_tasks(spark, tmp_path):
+    """Adaptive execution takes rows that name ranges for one task's work; each stands for a range that is read, and its elements."""
+    (tmp_path / "d.json").write_text(json.dumps(document(5, 400)))
+    size = (tmp_path / "d.json").stat().st_size // 64
+    ranges = lj._ranges(spark, str(tmp_path / "d.json"), size)
+    parts = lj.array_parts(spark, str(tmp_path / "d.json"), ["images", "annotations"], size)
+    for rows in (ranges, parts):
+        held = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(held) == 4 and max(held) < sum(held) / 2
+
+
+def test_an_element_is_parsed_once(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps(document(6)))
+    plan = ingest.read_source(spark, str(tmp_path / "d.json")).annotations._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
